@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +16,17 @@ from shelfwise.functions.ordering import dense_index
 from shelfwise.functions.staging import stage, stage_root
 from shelfwise.operators import (
     assemble,
+    classify,
     evaluate,
+    explain,
     hierarchy,
     labels,
     profile,
     recency,
+    recommend,
     sampling,
     segments,
+    selection,
     transforms,
 )
 from shelfwise.plans import weekly
@@ -49,6 +55,8 @@ WINDOWS = Windows(
     periods=(199901, 200027, 200119, 200126),
     labels=("130", "52", "8", "1"),
 )
+# The curated model features carry the reference period names.
+CURATED = replace(WINDOWS, labels=("52", "26", "8", "1"))
 CORR_COLUMNS = ["SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY", "SPEND", "SHOP_WEEK"]
 BASKET_SEGMENTS = ["BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "BASKET_TYPE", "BASKET_DOMINANT_MISSION"]
 CUSTOMER_SEGMENTS = ["CUST_PRICE_SENSITIVITY", "CUST_LIFESTAGE"]
@@ -107,8 +115,6 @@ def pair_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quantities(spark: SparkSession, path: str) -> DataFrame:
-    from shelfwise.operators import recommend
-
     return recommend.cust_quant_summ(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
 
 
@@ -217,8 +223,6 @@ def merge_features(spark, path):
 
 
 def merge_mapping(spark, path):
-    from shelfwise.operators import recommend
-
     rows = stage(quantities(spark, path), "quantities")
     return recommend.merge_mapping(
         rows, dense_index(rows, CUST, "index_CUST_CODE"), dense_index(rows, PROD, "index_PROD_CODE")
@@ -279,8 +283,6 @@ def dummies(spark, path):
 
 
 def class_weights(spark, path):
-    from shelfwise.operators import classify
-
     return rounded(classify.class_weights(stage(pair_table(spark, path), "pairs")))
 
 
@@ -382,5 +384,180 @@ def sql_queries() -> dict[str, Query]:
     }
 
 
+# Settings of the model queries: small fits over whole tables.
+ALS_SETTINGS = {"alpha": 20.0, "rank": 5, "reg": 0.1, "iterations": 5}
+FOREST = {"n_estimators": 10, "max_depth": 5}
+LINE_FEATURES = ["QUANTITY", "SHOP_HOUR", "SHOP_WEEKDAY", "BASKET_SIZE"]
+LINE_KEYS = ["BASKET_ID", PROD]
+
+
+def fitted_als(spark, path):
+    data = recommend.als_input(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    return data, recommend.fit_als(data.train, **ALS_SETTINGS)
+
+
+def als_fit(spark, path):
+    """Both factor tables of a fit, as id and vector."""
+    _, model = fitted_als(spark, path)
+    return model.userFactors.withColumn("side", F.lit("user")).unionByName(
+        model.itemFactors.withColumn("side", F.lit("item"))
+    )
+
+
+def als_score_pairs(spark, path):
+    data, model = fitted_als(spark, path)
+    return recommend.score_pairs(model, data.test)
+
+
+def als_mse(spark, path):
+    data, model = fitted_als(spark, path)
+    return recommend.als_mse(model, data.train, data.test)
+
+
+def user_item_factors(spark, path):
+    data, model = fitted_als(spark, path)
+    users, items = recommend.user_item_factors(model, data.customers, data.items)
+    return users.withColumnRenamed(CUST, "code").unionByName(items.withColumnRenamed(PROD, "code"))
+
+
+def predict_top_x(spark, path):
+    data, model = fitted_als(spark, path)
+    return recommend.predict_top_x(model, data.customers, data.items, 10)
+
+
+def als_tune(spark, path):
+    data = recommend.als_input(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    space = {**recommend.ALS_SPACE, "iterations": [3, 5]}
+    return recommend.trial_columns(recommend.tune_als(data.train, data.test, 3, space).trials)
+
+
+def lines(spark, path):
+    """Basket lines labelled by whether their spend is high."""
+    return basket_view(spark, path).select(
+        *LINE_KEYS, *LINE_FEATURES, (F.col("SPEND") > 25000).cast("int").alias("TARGET")
+    )
+
+
+def line_splits(spark, path) -> classify.Splits:
+    train, valid = sampling.row_split(lines(spark, path), ["BASKET_ID"], 0.3, 7)
+    return classify.prepare(train, valid, LINE_KEYS, LINE_FEATURES)
+
+
+def encoded_lines(spark, path):
+    rows = lines(spark, path)
+    encoder = classify.fit_encoder(rows, LINE_KEYS, LINE_FEATURES)
+    return stage(classify.class_weights(encoder.vectors(rows)), "encoded"), encoder.names
+
+
+def train_model(kind, settings, spark, path):
+    """Scores of the validation rows."""
+    splits = line_splits(spark, path)
+    model, _ = classify.train_evaluate(kind, splits, settings)
+    return classify.score(model, splits.valid)
+
+
+def train_evaluate(spark, path):
+    return classify.train_evaluate("forest", line_splits(spark, path), FOREST)[1]
+
+
+def tune_classifier(spark, path):
+    splits = line_splits(spark, path)
+    search = classify.tune_classifier("logistic", splits.train, splits.test, trials=4)
+    return search.trials.withColumn("params", F.to_json("params"))
+
+
+def rf_importance(spark, path):
+    rows, names = encoded_lines(spark, path)
+    return selection.rf_importance(rows, names, partial(classify.forest, **FOREST), 5)
+
+
+def abs_coeffs(spark, path):
+    rows, names = encoded_lines(spark, path)
+    return selection.abs_coeffs(rows, names, partial(classify.logistic, iterations=20), 5)
+
+
+def rfe_cv(spark, path):
+    rows, names = encoded_lines(spark, path)
+    return selection.rfe_cv(rows, names, LINE_KEYS, partial(classify.logistic, iterations=5), folds=2)
+
+
+def best_subset(spark, path):
+    rows, names = encoded_lines(spark, path)
+    make = partial(classify.logistic, iterations=5)
+    return selection.best_subset(rows, names, LINE_KEYS, make, k=4)
+
+
+def feature_clusters(spark, path):
+    profiles = stage(segments.seg_summary(segmented(spark, path), CUST, values=SEGMENT_VALUES), "profiles")
+    return selection.feature_clusters(profiles, [c for c in profiles.columns if c != CUST], 8)
+
+
+def attributions(spark, path):
+    rows, names = encoded_lines(spark, path)
+    model = classify.forest(rows, n_estimators=5, max_depth=4).fit(rows)
+    return explain.shap_values(rows, model, names, LINE_KEYS), names
+
+
+def shap_values(spark, path):
+    return attributions(spark, path)[0]
+
+
+def shap_summary(spark, path):
+    return explain.shap_summary(*attributions(spark, path))
+
+
+def shap_dependence(spark, path):
+    values, names = attributions(spark, path)
+    return explain.shap_dependence(values, names, LINE_KEYS, "QUANTITY", "SHOP_HOUR")
+
+
+def feature_table(spark, path):
+    rows = basket_view(spark, path)
+    pairs = stage(weekly.training_sample(rows, CURATED), "pairs")
+    found = weekly.recommend_products(rows, CURATED, top_x=10, **ALS_SETTINGS)
+    return weekly.feature_table(rows, pairs, CURATED, found.user_factors, found.item_factors)
+
+
+def recommend_products(spark, path):
+    return weekly.recommend_products(
+        basket_view(spark, path), WINDOWS, top_x=1000, **ALS_SETTINGS
+    ).predictions
+
+
+def purchase_probability(spark, path):
+    return weekly.purchase_probability(
+        basket_view(spark, path), CURATED, "forest", FOREST, {**ALS_SETTINGS, "top_x": 10}
+    ).scores
+
+
+def model_queries() -> dict[str, Query]:
+    """Queries whose result rests on a fitted model."""
+    return {
+        "als_fit": als_fit,
+        "als_score_pairs": als_score_pairs,
+        "als_mse": als_mse,
+        "user_item_factors": user_item_factors,
+        "predict_top_x": predict_top_x,
+        "als_tune": als_tune,
+        "train_logistic": partial(train_model, "logistic", {}),
+        "train_rf": partial(train_model, "forest", FOREST),
+        "train_gbt": partial(train_model, "boosting", {"rounds": 5, "max_depth": 3}),
+        "train_mlp": partial(train_model, "network", {"hidden": (8,), "epochs": 20}),
+        "tune_classifier": tune_classifier,
+        "train_evaluate": train_evaluate,
+        "rf_importance": rf_importance,
+        "abs_coeffs": abs_coeffs,
+        "rfe_cv": rfe_cv,
+        "best_subset": best_subset,
+        "feature_clusters": feature_clusters,
+        "shap_values": shap_values,
+        "shap_summary": shap_summary,
+        "shap_dependence": shap_dependence,
+        "feature_table": feature_table,
+        "recommend": recommend_products,
+        "purchase_probability": purchase_probability,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return sql_queries()
+    return {**sql_queries(), **model_queries()}

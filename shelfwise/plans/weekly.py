@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml import Model
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import columns_like, replace_inf
 from shelfwise.functions.staging import stage
-from shelfwise.operators import assemble, hierarchy, labels, recency, sampling, segments
-from shelfwise.schema import CUST, PROD, SEGMENT_VALUES, SEGMENTS, Windows
+from shelfwise.operators import (
+    assemble,
+    classify,
+    hierarchy,
+    labels,
+    recency,
+    recommend,
+    sampling,
+    segments,
+)
+from shelfwise.schema import CUST, MODEL_FEATURES, PAIR, PROD, SEGMENT_VALUES, SEGMENTS, Windows
+from shelfwise.sources.model_tables import model_input, safe_name
 
 
 def training_sample(transactions: DataFrame, windows: Windows, test_share: float = 0.3, seed: int = 42) -> DataFrame:
@@ -113,3 +125,72 @@ def feature_table(
     tables = feature_tables(restricted, windows)
     merged = [merge_all(side, tables, user_factors, item_factors) for side in sides]
     return replace_inf(merged[0].unionByName(merged[1]))
+
+
+@dataclass
+class Recommendations:
+    """Ranked products per customer and the factors behind them."""
+
+    predictions: DataFrame
+    user_factors: DataFrame
+    item_factors: DataFrame
+    errors: DataFrame
+
+
+def recommend_products(
+    transactions: DataFrame,
+    windows: Windows,
+    top_x: int = 1000,
+    alpha: float = 20.0,
+    rank: int = 5,
+    reg: float = 0.1,
+    iterations: int = 50,
+    seed: int = 0,
+) -> Recommendations:
+    """Summarise, clamp, normalise, hold out, fit and rank."""
+    data = recommend.als_input(transactions, windows.obs_start, windows.obs_end)
+    model = recommend.fit_als(data.train, alpha, rank, reg, iterations, seed)
+    users, items = recommend.user_item_factors(model, data.customers, data.items)
+    return Recommendations(
+        recommend.predict_top_x(model, data.customers, data.items, top_x),
+        stage(users, "user-factors"),
+        stage(items, "item-factors"),
+        recommend.als_mse(model, data.train, data.test),
+    )
+
+
+@dataclass
+class Purchases:
+    """Scored validation pairs, the fitted model and its report."""
+
+    scores: DataFrame
+    report: DataFrame
+    model: Model
+    splits: classify.Splits
+
+
+def purchase_probability(
+    transactions: DataFrame,
+    windows: Windows,
+    kind: str = "forest",
+    settings: Mapping[str, object] | None = None,
+    als: Mapping[str, float] | None = None,
+    seed: int = 42,
+) -> Purchases:
+    """From transactions to each test customer's ranked items for the week."""
+    pairs = stage(training_sample(transactions, windows, seed=seed), "pairs")
+    factors = recommend_products(transactions, windows, **(als or {}))
+    wide = feature_table(transactions, pairs, windows, factors.user_factors, factors.item_factors)
+    table = stage(model_input(wide, MODEL_FEATURES, [*PAIR, "IN_TEST"]), "model-input")
+    splits = classify.prepare(
+        table.where(F.col("IN_TEST") == 0),
+        table.where(F.col("IN_TEST") == 1),
+        PAIR,
+        [safe_name(f) for f in MODEL_FEATURES],
+    )
+    model, report = classify.train_evaluate(kind, splits, settings or {})
+    order = Window.partitionBy(CUST).orderBy(F.desc(classify.PROBABILITY))
+    scores = classify.score(model, splits.valid).withColumn(
+        "item_rank", F.dense_rank().over(order)
+    )
+    return Purchases(scores, report, model, splits)
