@@ -89,9 +89,10 @@ def normalize_min_max(df: DataFrame, bounds: DataFrame, group: str, column: str)
 
 def moments(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per column (1 for a constant)."""
+    numbers = [quoted(c).cast("double") for c in columns]
     row = train.agg(
-        *[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(quoted(c)).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(numbers)],
+        *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(numbers)],
     ).first()
     return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
 

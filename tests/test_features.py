@@ -1,0 +1,243 @@
+"""Feature operators against brute force on small random tables."""
+
+import datetime as dt
+import statistics
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.operators import assemble, hierarchy, labels, recency, segments
+from shelfwise.schema import LEVELS, SEGMENTS
+
+PERIODS, LABELS = [200801, 200804, 200808], ["8", "4", "1"]
+PARENTS = LEVELS[1:]
+
+
+def hierarchy_rows(rows):
+    return {tuple(r[c] for c in LEVELS) for r in rows}
+
+
+def spread(rows, per_level):
+    """All ways to look up a pair's levels, one dict of values each."""
+    tuples = hierarchy_rows(rows)
+    out = []
+    for (user, product), base in per_level["PROD_CODE"].items():
+        found = [base]
+        for level in PARENTS:
+            at = LEVELS.index(level)
+            nxt = []
+            for t in (t for t in tuples if t[0] == product):
+                met = per_level[level].get((user, t[at]))
+                if met is not None:
+                    nxt += [{**f, **met} for f in found]
+            found = nxt
+        out += [((user, product), f) for f in found]
+    return out
+
+
+def money(rows):
+    return float(round(sum(round(100 * r["SPEND"]) for r in rows if r["SPEND"] is not None)) / 100)
+
+
+def brute_summary(rows):
+    per_level = {}
+    for level in LEVELS:
+        groups = defaultdict(list)
+        for r in rows:
+            if r["CUST_CODE"] and r["SHOP_WEEK"] >= PERIODS[0]:
+                groups[r["CUST_CODE"], r[level]].append(r)
+        per_level[level] = {
+            key: {
+                f"{m}_{level}_{label}": value
+                for start, label in zip(PERIODS, LABELS, strict=True)
+                for mine in [[r for r in group if r["SHOP_WEEK"] >= start]]
+                for m, value in (
+                    ("SPEND", money(mine)),
+                    ("QUANTITY", sum(r["QUANTITY"] for r in mine)),
+                    ("VISITS", len({r["BASKET_ID"] for r in mine})),
+                )
+            }
+            for key, group in groups.items()
+        }
+    return spread(rows, per_level)
+
+
+def brute_gaps(rows):
+    per_level = {}
+    for level in LEVELS:
+        dates = defaultdict(set)
+        for r in rows:
+            if r["CUST_CODE"]:
+                dates[r["CUST_CODE"], r[level]].add(dt.datetime.strptime(str(r["SHOP_DATE"]), "%Y%m%d"))
+        gaps = {}
+        for key, days in dates.items():
+            days = sorted(days)
+            if len(days) > 1:
+                gaps[key] = [(b - a).days for a, b in zip(days, days[1:], strict=False)]
+        pooled = defaultdict(list)
+        for (_, code), values in gaps.items():
+            pooled[code] += values
+        per_level[level] = {
+            key: {
+                f"TIME_BTWN_MEDIAN_CUST_{level}": statistics.median(values),
+                f"TIME_BTWN_MEDIAN_OVERALL_{level}": statistics.median(pooled[key[1]]),
+                f"TIME_BTWN_LAST_{level}": values[-1],
+            }
+            for key, values in gaps.items()
+        }
+    return spread(rows, per_level)
+
+
+def as_sorted(pairs):
+    return sorted((key, sorted((k, float(v)) for k, v in values.items())) for key, values in pairs)
+
+
+def collected(df):
+    out = []
+    for r in df.collect():
+        d = r.asDict()
+        out.append(((d.pop("CUST_CODE"), d.pop("PROD_CODE")), d))
+    return as_sorted(out)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_summary_and_changes(make_lines, random_lines, parts):
+    rows = random_lines()
+    df = make_lines(rows, parts)
+    products = labels.hierarchy_map(df, LEVELS)
+    found = hierarchy.sp_vi_qu(df, products, PERIODS, LABELS)
+    expected = brute_summary(rows)
+    assert collected(found) == as_sorted(expected)
+    # A moved product is met more than once, as each level is joined by itself.
+    assert len(expected) > len({k for k, _ in expected})
+    latest = hierarchy.sp_vi_qu(df, hierarchy.latest_hierarchy(df), PERIODS, LABELS)
+    assert latest.count() == latest.select("CUST_CODE", "PROD_CODE").distinct().count()
+    changes = []
+    for key, v in expected:
+        changes.append(
+            (
+                key,
+                {
+                    f"CHNG_{m}_{lv}_{a}_{b}": (v[f"{m}_{lv}_{a}"] / v[f"{m}_{lv}_{b}"] if v[f"{m}_{lv}_{b}"] else 0.0)
+                    for lv in LEVELS
+                    for a, b in (("1", "4"), ("1", "8"), ("4", "8"))
+                    for m in ("SPEND", "QUANTITY", "VISITS")
+                },
+            )
+        )
+    assert collected(hierarchy.chng_features(found, LABELS[::-1])) == as_sorted(changes)
+    with pytest.raises(ValueError):
+        hierarchy.sp_vi_qu(df, products, PERIODS, LABELS, ["PROD_CODE_10"])
+
+
+def test_a_basket_over_a_period_start_counts_once(make_lines):
+    df = make_lines([{"SHOP_WEEK": w, "BASKET_ID": 7} for w in (200803, 200804, 200805)])
+    row = hierarchy.sp_vi_qu(df, labels.hierarchy_map(df, LEVELS), PERIODS, LABELS).first()
+    assert (row.VISITS_PROD_CODE_8, row.VISITS_PROD_CODE_4, row.VISITS_PROD_CODE_1) == (1, 1, 0)
+    assert (row.QUANTITY_PROD_CODE_8, row.QUANTITY_PROD_CODE_4) == (3, 2)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_gaps_and_ratios(make_lines, random_lines, parts):
+    rows = random_lines(seed=4)
+    df = make_lines(rows, parts)
+    found = recency.time_last_purchased(df, labels.hierarchy_map(df, LEVELS))
+    assert collected(found) == as_sorted(brute_gaps(rows))
+    for r in recency.time_since_ratios(found).join(found, ["CUST_CODE", "PROD_CODE"]).collect():
+        if r.TIME_BTWN_MEDIAN_CUST_PROD_CODE:
+            assert r.TIME_BTWN_RATIO_CUST_PROD_CODE == pytest.approx(
+                r.TIME_BTWN_LAST_PROD_CODE / r.TIME_BTWN_MEDIAN_CUST_PROD_CODE
+            ) or len(found.where(f"CUST_CODE='{r.CUST_CODE}' AND PROD_CODE='{r.PROD_CODE}'").collect()) > 1
+
+
+def test_a_single_purchase_has_no_gap(make_lines):
+    df = make_lines(
+        [{"SHOP_DATE": d, "CUST_CODE": u} for u, d in (("U1", 20080101), ("U1", 20080105), ("U1", 20080120), ("U2", 20080101))]
+    )
+    row, = recency.time_last_purchased(df, labels.hierarchy_map(df, LEVELS)).collect()
+    assert (row.CUST_CODE, row.TIME_BTWN_MEDIAN_CUST_PROD_CODE, row.TIME_BTWN_LAST_PROD_CODE) == ("U1", 9.5, 15)
+
+
+@pytest.mark.parametrize("key", ["CUST_CODE", "PROD_CODE"])
+def test_segment_profile(make_lines, random_lines, key):
+    rows = random_lines(seed=5)
+    df = segments.with_shopping_segments(make_lines(rows, 3))
+    found = {r[key]: r.asDict() for r in segments.seg_summary(df, key).collect()}
+    full = [r.asDict() for r in df.collect()]
+    expected_keys = set()
+    for k in {r[key] for r in full if r[key] is not None}:
+        mine = [r for r in full if r[key] == k]
+        if any(all(r[s] is None for r in mine) for s in SEGMENTS):
+            continue
+        expected_keys.add(k)
+        spend = float(sum(r["SPEND"] or 0 for r in mine))
+        for v in ("L", "M", "S"):
+            part = [r for r in mine if r["BASKET_SIZE"] == v]
+            own = float(sum(r["SPEND"] or 0 for r in part))
+            share = own / spend if spend else 0.0
+            visits = len({r["BASKET_ID"] for r in part}) / len({r["BASKET_ID"] for r in mine})
+            assert found[k][f"BASKET_SIZE_PROP_SPEND_{key}_{v}"] == pytest.approx(share)
+            assert found[k][f"BASKET_SIZE_PROP_VISITS_{key}_{v}"] == pytest.approx(visits)
+            if key == "CUST_CODE":
+                assert found[k][f"BASKET_SIZE_SPEND_{key}_{v}"] == pytest.approx(own)
+        if key == "PROD_CODE":
+            assert not any("_SPEND_" in c and "PROP" not in c for c in found[k])
+    assert set(found) == expected_keys
+
+
+def test_a_key_without_any_value_of_a_segment_is_left_out(make_lines):
+    df = segments.with_shopping_segments(
+        make_lines([{"CUST_CODE": "U1"}, {"CUST_CODE": "U2", "SHOP_HOUR": 3}])
+    )
+    assert [r.CUST_CODE for r in segments.seg_summary(df, "CUST_CODE").collect()] == ["U1"]
+
+
+def test_assembly_fills_and_drops(spark, make_lines):
+    pairs = spark.createDataFrame(
+        [("U1", "P1", 1), ("U2", "P1", 0), ("U3", "P1", 0)], "CUST_CODE string, PROD_CODE string, TARGET int"
+    )
+    key = "CUST_CODE string, PROD_CODE string"
+    one = spark.createDataFrame([("U1", "P1", 5.0)], f"{key}, S double")
+    gaps = spark.createDataFrame(
+        [("U1", "P1", 4.0, 9.0), ("U9", "P1", 4.0, 99.0)],
+        f"{key}, TIME_BTWN_MEDIAN_CUST_PROD_CODE double, TIME_BTWN_MEDIAN_OVERALL_PROD_CODE double",
+    )
+    ratios = spark.createDataFrame([("U1", "P1", 1.5)], f"{key}, TIME_BTWN_RATIO_OVERALL_PROD_CODE double")
+    cust = spark.createDataFrame([("U1", 0.5)], "CUST_CODE string, `seg a` double")
+    item = spark.createDataFrame([("P1", 0.25)], "PROD_CODE string, seg_item double")
+    users = spark.createDataFrame([("U1", 1.0), ("U2", 2.0)], "CUST_CODE string, USER_factor_0 double")
+    items = spark.createDataFrame([("P1", 3.0)], "PROD_CODE string, ITEM_factor_0 double")
+    args = (one, one.withColumnRenamed("S", "C"), gaps, ratios, cust, item, users, items)
+    rows = {r.CUST_CODE: r for r in assemble.merge_features(pairs, *args).collect()}
+    assert set(rows) == {"U1", "U2"}  # U3 has no factors
+    assert (rows["U2"].S, rows["U2"].C, rows["U2"]["seg a"], rows["U2"].seg_item) == (0.0, 0.0, 0.0, 0.25)
+    # The fills are the largest values met in this frame; U9 is not in it.
+    assert rows["U2"].TIME_BTWN_MEDIAN_CUST_PROD_CODE == 9.0
+    assert rows["U2"].TIME_BTWN_RATIO_OVERALL_PROD_CODE == 1.5
+    given = {r.CUST_CODE: r for r in assemble.merge_features(pairs, *args, fills=(7.0, 8.0)).collect()}
+    assert given["U2"].TIME_BTWN_MEDIAN_CUST_PROD_CODE == 7.0
+
+
+def test_customer_segments(spark, make_lines):
+    rows = make_lines(
+        [
+            {"CUST_CODE": "U1", "CUST_LIFESTAGE": "YF", "SHOP_DATE": 20080101},
+            {"CUST_CODE": "U1", "CUST_LIFESTAGE": "OF", "SHOP_DATE": 20080201},
+            {"CUST_CODE": "U2", "CUST_LIFESTAGE": None},
+        ]
+    )
+    pairs = spark.createDataFrame([("U1",), ("U2",), ("U3",)], "CUST_CODE string")
+    both = sorted((r.CUST_CODE, r.CUST_LIFESTAGE) for r in assemble.append_cust_segments(rows, pairs).collect())
+    assert both == [("U1", "OF"), ("U1", "YF"), ("U2", "XX"), ("U3", "XX")]
+    latest = sorted((r.CUST_CODE, r.CUST_LIFESTAGE) for r in assemble.append_cust_segments(rows, pairs, latest=True).collect())
+    assert latest == [("U1", "OF"), ("U2", "XX"), ("U3", "XX")]
+
+
+def test_transactions_are_restricted_to_modelled_pairs(make_lines):
+    df = make_lines(
+        [{"CUST_CODE": u, "SHOP_WEEK": w} for u, w in (("U1", 200801), ("U1", 200901), ("U2", 200801), (None, 200801))]
+    )
+    one = df.where("CUST_CODE = 'U1'").withColumn("TARGET", F.lit(1))
+    kept = assemble.filter_cust_trans(df, one, one, 200801, 200810)
+    assert [(r.CUST_CODE, r.SHOP_WEEK) for r in kept.collect()] == [("U1", 200801)]
