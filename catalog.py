@@ -93,7 +93,8 @@ def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def observed(spark: SparkSession, path: str) -> DataFrame:
-    return labels.filter_window(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    weeks = (WINDOWS.obs_start, WINDOWS.obs_end)
+    return labels.filter_window(basket_view(spark, path, weeks), *weeks)
 
 
 def segmented(spark: SparkSession, path: str) -> DataFrame:
@@ -101,13 +102,13 @@ def segmented(spark: SparkSession, path: str) -> DataFrame:
 
 
 def target_pairs(spark: SparkSession, path: str) -> DataFrame:
-    return labels.targets(basket_view(spark, path), WINDOWS.target_week)
+    week = WINDOWS.target_week
+    return labels.targets(basket_view(spark, path, (week, week)), week)
 
 
 def active(spark: SparkSession, path: str) -> DataFrame:
-    return labels.active_customers(
-        basket_view(spark, path), WINDOWS.active_start, WINDOWS.active_end
-    )
+    weeks = (WINDOWS.active_start, WINDOWS.active_end)
+    return labels.active_customers(basket_view(spark, path, weeks), *weeks)
 
 
 def pair_table(spark: SparkSession, path: str) -> DataFrame:
@@ -115,7 +116,7 @@ def pair_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quantities(spark: SparkSession, path: str) -> DataFrame:
-    return recommend.cust_quant_summ(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    return recommend.cust_quant_summ(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
 
 
 def with_target(df: DataFrame) -> DataFrame:
@@ -392,7 +393,7 @@ LINE_KEYS = ["BASKET_ID", PROD]
 
 
 def fitted_als(spark, path):
-    data = recommend.als_input(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    data = recommend.als_input(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
     return data, recommend.fit_als(data.train, **ALS_SETTINGS)
 
 
@@ -426,7 +427,7 @@ def predict_top_x(spark, path):
 
 
 def als_tune(spark, path):
-    data = recommend.als_input(basket_view(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    data = recommend.als_input(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
     space = {**recommend.ALS_SPACE, "iterations": [3, 5]}
     return recommend.trial_columns(recommend.tune_als(data.train, data.test, 3, space).trials)
 
