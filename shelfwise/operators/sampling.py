@@ -6,6 +6,8 @@ sample does not depend on the partitioning and can be drawn again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,7 +106,9 @@ def sample_non_target(pairs: DataFrame, seed: int = 0) -> DataFrame:
     return positives.unionByName(drawn.select(*pairs.columns))
 
 
-def draw_pairs(active: DataFrame, target_pairs: DataFrame, seed: int = 0) -> DataFrame:
+def draw_pairs(
+    active: DataFrame, target_pairs: DataFrame, seed: int = 0, strata: Sequence[str] = ()
+) -> DataFrame:
     """Balanced labelled pairs of active customers and target products.
 
     It gives what balancing the table of all pairs would give - all positives,
@@ -114,57 +118,62 @@ def draw_pairs(active: DataFrame, target_pairs: DataFrame, seed: int = 0) -> Dat
     there on. A product with n buyers meets n non-buyers within the next 2n
     places, so only 2n places per product are looked up. A stretch of a random
     order is a random subset, so each product's sample is uniform.
+
+    ``strata`` are columns of ``active``, such as train or test; each stratum is
+    a circle of its own and is sampled by itself.
     """
-    circle = stage(hash_rank(active.select(CUST).distinct(), [], [CUST], "place", seed), "circle")
-    size = circle.count()
+    strata = list(strata)
+    people = active.select(CUST, *strata).dropDuplicates([CUST])
+    circle = stage(hash_rank(people, strata, [CUST], "place", seed), "circle")
     positives = stage(
-        target_pairs.select(*PAIR).distinct().join(circle.select(CUST), CUST, "left_semi"),
+        target_pairs.select(*PAIR).distinct().join(circle.select(CUST, *strata), CUST),
         "positives",
     )
-    if size == 0:
-        return positives.withColumn(TARGET, F.lit(1))
-    counts = positives.groupBy(PROD).agg(F.count(F.lit(1)).alias("quota"))
-    span = F.least(2 * F.col("quota"), F.lit(size))
-    start = hash_number(key_hash(PROD, seed=seed), 12) % F.lit(size)
+    product = [*strata, PROD]
+    sizes = circle.groupBy(*strata).agg(F.count(F.lit(1)).alias("size"))
+    counts = positives.groupBy(*product).agg(F.count(F.lit(1)).alias("quota"))
+    step_size = F.lit(RANGE).cast("bigint")
     ranges = (
-        counts.select(PROD, "quota", span.alias("span"), start.alias("start"))
+        (counts.join(sizes, strata) if strata else counts.withColumn("size", F.lit(circle.count())))
+        .withColumn("span", F.least(2 * F.col("quota"), F.col("size")))
+        .withColumn("start", hash_number(key_hash(PROD, seed=seed), 12) % F.col("size"))
         .withColumn(
             "first",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("span") - 1, F.lit(RANGE).cast("bigint"))),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("span") - 1, step_size)),
         )
         # A product with many buyers is one row here; spread its ranges.
-        .repartition(PROD, "first")
+        .repartition(*product, "first")
     )
-    candidates = (
+    candidates = stage(
         ranges.withColumn(
             "step",
-            F.explode(
-                F.sequence("first", F.least(F.col("first") + RANGE, F.col("span")) - 1)
-            ),
+            F.explode(F.sequence("first", F.least(F.col("first") + RANGE, F.col("span")) - 1)),
         )
-        .withColumn("place", (F.col("start") + F.col("step")) % F.lit(size))
-        .join(circle, "place")
-        .join(positives, PAIR, "left_anti")
-        .select(*PAIR, "quota", "first", "step")
+        .withColumn("place", (F.col("start") + F.col("step")) % F.col("size"))
+        .join(circle, [*strata, "place"])
+        .join(positives.select(*PAIR), PAIR, "left_anti")
+        .select(*PAIR, *strata, "quota", "first", "step"),
+        "candidates",
     )
-    candidates = stage(candidates, "candidates")
     before = (
-        Window.partitionBy(PROD)
+        Window.partitionBy(*product)
         .orderBy("first")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    room = candidates.groupBy(PROD, "first").agg(
-        F.count(F.lit(1)).alias("n"), F.max("quota").alias("quota")
-    ).select(
-        PROD,
-        "first",
-        (F.col("quota") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("room"),
+    room = (
+        candidates.groupBy(*product, "first")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("quota").alias("quota"))
+        .select(
+            *product,
+            "first",
+            (F.col("quota") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("room"),
+        )
     )
-    inside = Window.partitionBy(PROD, "first").orderBy("step")
+    inside = Window.partitionBy(*product, "first").orderBy("step")
     negatives = (
         candidates.withColumn("order", F.row_number().over(inside))
-        .join(room, [PROD, "first"])
+        .join(room, [*product, "first"])
         .where(F.col("order") <= F.col("room"))
-        .select(*PAIR, F.lit(0).alias(TARGET))
+        .select(*PAIR, *strata, F.lit(0).alias(TARGET))
     )
-    return positives.withColumn(TARGET, F.lit(1)).unionByName(negatives)
+    return positives.select(*PAIR, *strata, F.lit(1).alias(TARGET)).unionByName(negatives)

@@ -32,14 +32,8 @@ def training_sample(transactions: DataFrame, windows: Windows, test_share: float
     """
     bought = labels.targets(transactions, windows.target_week)
     active = labels.active_customers(transactions, windows.active_start, windows.active_end)
-    split = stage(sampling.customer_split(active, test_share, seed), "customers")
-    bought = stage(bought, "targets")
-    sides = [
-        sampling.draw_pairs(split.where(F.col("IN_TEST") == side).select(CUST), bought, seed)
-        .withColumn("IN_TEST", F.lit(side))
-        for side in (0, 1)
-    ]
-    return sides[0].unionByName(sides[1])
+    split = sampling.customer_split(active, test_share, seed)
+    return sampling.draw_pairs(split, bought, seed, ["IN_TEST"])
 
 
 @dataclass
