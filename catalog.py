@@ -55,7 +55,7 @@ WINDOWS = Windows(
     periods=(199901, 200027, 200119, 200126),
     labels=("130", "52", "8", "1"),
 )
-# The curated model features carry the reference period names.
+# The curated model features carry these period names.
 CURATED = replace(WINDOWS, labels=("52", "26", "8", "1"))
 CORR_COLUMNS = ["SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY", "SPEND", "SHOP_WEEK"]
 BASKET_SEGMENTS = ["BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "BASKET_TYPE", "BASKET_DOMINANT_MISSION"]
@@ -205,7 +205,6 @@ def merge_features(spark, path):
     tables = weekly.feature_tables(observed(spark, path), WINDOWS)
     user = weekly.prefixed_factors(fixed_factors(tables.transactions, CUST), CUST, "USER")
     item = weekly.prefixed_factors(fixed_factors(tables.transactions, PROD), PROD, "ITEM")
-    customer, products = stage(tables.customer_segments, "customers"), stage(tables.item_segments, "items")
     merged = [
         assemble.merge_features(
             pairs.where(F.col("IN_TEST") == side),
@@ -213,8 +212,8 @@ def merge_features(spark, path):
             tables.changes,
             tables.gaps,
             tables.ratios,
-            customer,
-            products,
+            tables.customer_segments,
+            tables.item_segments,
             user,
             item,
         )

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,6 +39,20 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage independent tables side by side, so one job's last tasks do not
+    leave the cluster idle."""
+    spark = next(iter(tables.values())).sparkSession
+    stage_root(spark)
+
+    @inheritable_thread_target(spark)
+    def write(label: str) -> DataFrame:
+        return stage(tables[label], label)
+
+    with ThreadPool(len(tables)) as pool:
+        return dict(zip(tables, pool.map(write, tables), strict=True))
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete the stages of this application once its results are stored."""
     path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))

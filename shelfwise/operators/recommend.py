@@ -24,6 +24,10 @@ ITEM_INDEX = "index_PROD_CODE"
 RATING = "QUANTITY"
 SCORE = "PRED_QUANTITY"
 
+# There are far fewer products than customers, and every customer block sends to
+# every product block.
+ITEM_BLOCKS = 64
+
 
 def cust_quant_summ(df: DataFrame, start: int, end: int) -> DataFrame:
     """Units bought per (customer, product) in a week range."""
@@ -86,8 +90,8 @@ def fit_als(
     Spark scales the penalty by the number of ratings of a row and takes the
     confidence as 1 + alpha x rating, so ``reg`` is much smaller than for
     libraries with a plain penalty. Factors are checkpointed every few
-    iterations, which cuts the lineage of a long fit; there are as many rating
-    blocks as shuffle partitions.
+    iterations, which cuts the lineage of a long fit; there are as many
+    customer blocks as shuffle partitions.
     """
     spark = ratings.sparkSession
     stage_root(spark)  # makes sure a checkpoint folder is set
@@ -99,7 +103,7 @@ def fit_als(
         alpha=float(alpha),
         implicitPrefs=True,
         numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numItemBlocks=min(blocks, ITEM_BLOCKS),
         checkpointInterval=5,
         coldStartStrategy="drop",
         seed=seed,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import columns_like, replace_inf
-from shelfwise.functions.staging import stage
+from shelfwise.functions.staging import stage, stage_all
 from shelfwise.operators import (
     assemble,
     classify,
@@ -52,24 +52,30 @@ class FeatureTables:
 def feature_tables(transactions: DataFrame, windows: Windows, values=SEGMENT_VALUES) -> FeatureTables:
     """Compute every feature table of the given (already restricted) rows.
 
-    The rows and the three tables that feed several later joins are staged, so
-    each is computed once.
+    The rows and the tables that feed later joins are staged, so each is computed
+    once. The four tables only depend on the rows and are computed side by side.
     """
     levels = list(windows.levels)
     rows = stage(segments.with_shopping_segments(transactions), "restricted")
     products = labels.hierarchy_map(rows, levels)
-    summary = stage(
-        hierarchy.sp_vi_qu(rows, products, windows.periods, windows.labels, levels), "summary"
+    staged = stage_all(
+        {
+            "summary": hierarchy.sp_vi_qu(
+                rows, products, windows.periods, windows.labels, levels
+            ),
+            "gaps": recency.time_last_purchased(rows, products, levels),
+            "customers": segments.seg_summary(rows, CUST, SEGMENTS, values),
+            "items": segments.seg_summary(rows, PROD, SEGMENTS, values),
+        }
     )
-    gaps = stage(recency.time_last_purchased(rows, products, levels), "gaps")
     return FeatureTables(
         transactions=rows,
-        summary=summary,
-        changes=hierarchy.chng_features(summary, windows.labels[::-1], levels),
-        gaps=gaps,
-        ratios=recency.time_since_ratios(gaps, levels),
-        customer_segments=segments.seg_summary(rows, CUST, SEGMENTS, values),
-        item_segments=segments.seg_summary(rows, PROD, SEGMENTS, values),
+        summary=staged["summary"],
+        changes=hierarchy.chng_features(staged["summary"], windows.labels[::-1], levels),
+        gaps=staged["gaps"],
+        ratios=recency.time_since_ratios(staged["gaps"], levels),
+        customer_segments=staged["customers"],
+        item_segments=staged["items"],
     )
 
 
