@@ -432,10 +432,12 @@ def als_tune(spark, path):
 
 
 def lines(spark, path):
-    """Basket lines labelled by whether their spend is high."""
-    return basket_view(spark, path).select(
+    """Basket lines labelled by whether their spend is high; read several times,
+    so they are staged."""
+    labelled = basket_view(spark, path).select(
         *LINE_KEYS, *LINE_FEATURES, (F.col("SPEND") > 25000).cast("int").alias("TARGET")
     )
+    return stage(labelled, "lines")
 
 
 def line_splits(spark, path) -> classify.Splits:
@@ -452,8 +454,7 @@ def encoded_lines(spark, path):
 def train_model(kind, settings, spark, path):
     """Scores of the validation rows."""
     splits = line_splits(spark, path)
-    model, _ = classify.train_evaluate(kind, splits, settings)
-    return classify.score(model, splits.valid)
+    return classify.score(classify.train(kind, splits, settings), splits.valid)
 
 
 def train_evaluate(spark, path):

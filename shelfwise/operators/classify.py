@@ -315,9 +315,16 @@ def score(model: Model, df: DataFrame, cutoff: float = 0.5) -> DataFrame:
     )
 
 
-def train_evaluate(kind: str, splits: Splits, settings: Mapping[str, object], cutoff: float = 0.5) -> tuple[Model, DataFrame]:
-    """Fit the chosen settings on train and report on the validation rows."""
+def train(kind: str, splits: Splits, settings: Mapping[str, object]) -> Model:
+    """Fit the chosen settings on train; boosting stops early on the test rows."""
     rows = with_validation(splits.train, splits.test) if kind == "boosting" else splits.train
-    model = BUILDERS[kind](rows, **settings).fit(rows)
+    return BUILDERS[kind](rows, **settings).fit(rows)
+
+
+def train_evaluate(
+    kind: str, splits: Splits, settings: Mapping[str, object], cutoff: float = 0.5
+) -> tuple[Model, DataFrame]:
+    """Fit the chosen settings on train and report on the validation rows."""
+    model = train(kind, splits, settings)
     scored = stage(score(model, splits.valid, cutoff), "scored")
     return model, evaluation_report(scored, TARGET, "prediction", PROBABILITY)
