@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from shelfwise.operators.classify import FEATURES, WEIGHT, evaluator
+from shelfwise.operators.classify import FEATURES, evaluator
 from shelfwise.operators.labels import TARGET
 from shelfwise.operators.profile import correlation_matrix
 from shelfwise.operators.sampling import row_split, stratified_folds

@@ -49,11 +49,11 @@ def test_scores_are_dot_products(ratings, als):
 
 
 @pytest.mark.parametrize("top_x", [1, 3, 50])
-def test_top_products_match_all_scores(ratings, als, top_x):
+def test_top_products_match_all_scores(spark, ratings, als, top_x):
     _, users, items = ratings
-    everything = recommend.score_pairs(
-        als, users.crossJoin(items).select("CUST_CODE", "PROD_CODE", recommend.USER_INDEX, recommend.ITEM_INDEX)
-    ).collect()
+    pairs = [(*u, *i) for u in users.collect() for i in items.collect()]
+    names = [*users.columns, *items.columns]
+    everything = recommend.score_pairs(als, spark.createDataFrame(pairs, names)).collect()
     expected = set()
     for _, group in itertools.groupby(sorted(everything, key=lambda r: r.CUST_CODE), lambda r: r.CUST_CODE):
         group = sorted(group, key=lambda r: -r.PRED_QUANTITY)[:top_x]
