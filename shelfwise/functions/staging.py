@@ -8,7 +8,6 @@ same rows.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from multiprocessing.pool import ThreadPool
 
@@ -17,24 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder for the stages of this application."""
+    """Folder for the stages of this application: under ``spark.checkpoint.dir``,
+    else under the warehouse, which every executor reaches as well."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
-            raise ValueError(
-                "set spark.checkpoint.dir to a folder that every executor can reach"
-            )
-        root = tempfile.mkdtemp(prefix="shelfwise-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return f"{root.rstrip('/')}/stages-{sc.applicationId}"
 
 
+def new_path(spark: SparkSession, label: str = "stage") -> str:
+    """Place of a new stage that nothing else writes to."""
+    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and return a reader of the written table."""
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
