@@ -12,6 +12,7 @@ from shelfwise.llm import (
     byte_bpe,
     exact_dedup,
     language,
+    minhash,
     mixing,
     sharding,
     url_filter,
@@ -53,6 +54,12 @@ def byte_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.token_digests(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def minhash_query(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, folder, "documents"), shingle_words=4).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, folder, "pages"))
 
@@ -64,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_shard": shard_documents,
         "op6_language": language_id,
         "op7_byte_bpe": byte_bpe_query,
+        "op8_minhash": minhash_query,
         "op9_url_filter": url_rules,
     }
 
