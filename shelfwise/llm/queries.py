@@ -12,8 +12,11 @@ from shelfwise.llm import (
     byte_bpe,
     exact_dedup,
     language,
+    line_templates,
     minhash,
     mixing,
+    near_vectors,
+    secrets,
     sharding,
     url_filter,
 )
@@ -45,6 +48,14 @@ def shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def near_vectors_query(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(read(spark, folder, "embeddings"))
+
+
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(read(spark, folder, "documents"))
+
+
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read(spark, folder, "documents"))
 
@@ -64,15 +75,28 @@ def url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, folder, "pages"))
 
 
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs).select(
+        "doc_id",
+        F.size("dropped_lines").cast("bigint").alias("n_dropped"),
+        F.array_join(F.col("dropped_lines").cast("array<string>"), ",").alias("dropped_lines"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mix_sources,
         "op2_exact_dedup": exact_dedup_query,
         "op3_shard": shard_documents,
+        "op4_near_vectors": near_vectors_query,
+        "op5_secrets": secret_scan,
         "op6_language": language_id,
         "op7_byte_bpe": byte_bpe_query,
         "op8_minhash": minhash_query,
         "op9_url_filter": url_rules,
+        "op10_line_templates": line_dedup,
     }
 
 
