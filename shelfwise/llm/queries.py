@@ -20,6 +20,7 @@ from shelfwise.llm import (
     sharding,
     url_filter,
 )
+from shelfwise.llm.sql import oracle_sql as oracle_sql
 from shelfwise.llm.tables import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -72,7 +73,8 @@ def minhash_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filter.judge_urls(read(spark, folder, "pages"))
+    judged = url_filter.judge_urls(read(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +100,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": url_rules,
         "op10_line_templates": line_dedup,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

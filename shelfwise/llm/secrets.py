@@ -78,21 +78,26 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     return found
 
 
-@F.pandas_udf(
-    "kind array<int>, start array<int>, end array<int>, digest array<binary>, live array<boolean>"
-)
-def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    names = ["kind", "start", "end", "digest", "live"]
-    for texts in batches:
-        rows = []
-        for text in texts:
-            found = candidates(text) if text else []
-            rows.append((
-                [f[0] for f in found], [f[1] for f in found], [f[2] for f in found],
-                [xxhash.xxh3_128_digest(f[3].encode()) for f in found],
-                [looks_live(f[3]) for f in found],
-            ))
-        yield pd.DataFrame(rows, columns=names)
+FOUND = "kind array<int>, start array<int>, end array<int>, digest array<binary>, live array<boolean>"
+
+
+def scan(texts: Column) -> Column:
+    """Candidates of each text, as one array per field."""
+
+    @F.pandas_udf(FOUND)
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for text in batch:
+                found = candidates(text) if text else []
+                rows.append((
+                    [f[0] for f in found], [f[1] for f in found], [f[2] for f in found],
+                    [xxhash.xxh3_128_digest(f[3].encode()) for f in found],
+                    [looks_live(f[3]) for f in found],
+                ))
+            yield pd.DataFrame(rows, columns=["kind", "start", "end", "digest", "live"])
+
+    return find(texts)
 
 
 def span_list(spans: Column) -> Column:
