@@ -98,57 +98,77 @@ def perfect_hash(ranks: dict[bytes, int]) -> PerfectHash:
     return PerfectHash(shift, keys, [ranks[k] for k in keys])
 
 
-def merge(piece: bytes, table: PerfectHash) -> list[int]:
-    """Token ids of a pre-token that is not a token itself."""
-    n = len(piece)
-    stop, before = list(range(1, n + 1)), list(range(-1, n))
-    alive = bytearray([1]) * n
-    heap: list[tuple[int, int, int]] = []
+class Ranks(dict):
+    """Rank of each byte string asked for, -1 outside the vocabulary; bounded."""
 
-    def offer(start: int) -> None:
-        right = stop[start]
-        if right < n:
-            end = stop[right]
-            rank = table.rank(piece[start:end])
-            if rank >= 0:
-                heap.append((rank, start, end)) if building else heapq.heappush(heap, (rank, start, end))
+    def __init__(self, table: PerfectHash):
+        super().__init__()
+        self.table = table
 
-    building = True
+    def __missing__(self, token: bytes) -> int:
+        rank = self.table.rank(token)
+        if len(token) <= MEMO_BYTES:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[token] = rank
+        return rank
+
+
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
+    """Token ids of a pre-token that is not a token itself.
+
+    Parts are named by their first byte; ``stop`` is where a part ends (and the
+    next begins), 0 for a part that has been merged into its left neighbour. The
+    heap holds ``rank, start, end`` of pairs as one number; a pair is out of date
+    if one of its parts has changed.
+    """
+    n = len(piece)
+    base = n + 1
+    stop, before = list(range(1, n + 1)), list(range(-1, n))
+    heap = []
     for start in range(n - 1):
-        offer(start)
-    building = False
+        rank = ranks[piece[start : start + 2]]
+        if rank >= 0:
+            heap.append((rank * base + start) * base + start + 2)
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, start, end = heapq.heappop(heap)
+        rest, end = divmod(pop(heap), base)
+        start = rest % base
         right = stop[start]
-        if not alive[start] or right >= n or stop[right] != end:
-            continue  # one of the two has been merged since
-        alive[right] = 0
+        if not right or right == n or stop[right] != end:
+            continue
+        stop[right] = 0
         stop[start] = end
         if end < n:
             before[end] = start
-        offer(start)
-        if before[start] >= 0:
-            offer(before[start])
+            far = stop[end]
+            rank = ranks[piece[start:far]]
+            if rank >= 0:
+                push(heap, (rank * base + start) * base + far)
+        left = before[start]
+        if left >= 0:
+            rank = ranks[piece[left:end]]
+            if rank >= 0:
+                push(heap, (rank * base + left) * base + end)
     ids, start = [], 0
     while start < n:
-        ids.append(table.rank(piece[start : stop[start]]))
+        ids.append(ranks[piece[start : stop[start]]])
         start = stop[start]
     return ids
 
 
-class Memo(dict):
+class Words(dict):
     """Ids of pre-tokens, as little-endian 32-bit integers; bounded."""
 
     def __init__(self, table: PerfectHash):
         super().__init__()
-        self.table = table
+        self.table, self.ranks = table, Ranks(table)
 
     def __missing__(self, word: str) -> bytes:
         piece = word.encode()
         rank = self.table.rank(piece)
-        ids = [rank] if rank >= 0 else merge(piece, self.table)
-        packed = np.array(ids, "<u4").tobytes()
+        packed = np.array([rank] if rank >= 0 else merge(piece, self.ranks), "<u4").tobytes()
         if len(piece) <= MEMO_BYTES:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()
@@ -156,6 +176,37 @@ class Memo(dict):
         return packed
 
 
+class Encoder(dict):
+    """Ids of what stands between two spaces, the first of them included; bounded.
+
+    A pre-token holds a space only as its first character or among other white
+    space. So a text without white space after a space may be cut before each
+    space, and the parts, most of which recur, are split and encoded alone.
+    """
+
+    def __init__(self, table: PerfectHash, pattern: str):
+        super().__init__()
+        self.words, self.split = Words(table), regex.compile(pattern).findall
+        self.run = regex.compile(r" \s").search
+
+    def __missing__(self, part: str) -> bytes:
+        packed = self.whole(" " + part)
+        if len(part) <= MEMO_BYTES:
+            if len(self) >= 2 * MEMO_ENTRIES:
+                self.clear()
+            self[part] = packed
+        return packed
+
+    def whole(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.split(text)))
+
+    def encode(self, text: str) -> bytes:
+        if self.run(text):
+            return self.whole(text)
+        first, *parts = text.split(" ")
+        return self.whole(first) + b"".join(map(self.__getitem__, parts))
+
+
 def tokenize(
     docs: DataFrame,
     ranks: dict[bytes, int],
@@ -168,7 +219,8 @@ def tokenize(
     unsigned 32-bit integers, and the bytes that they decode to.
 
     Null counts as an empty text, which has no tokens. Each match of ``pattern``
-    is encoded separately; there are no special tokens. The tables that go to the
+    is encoded separately; there are no special tokens. ``pattern`` must hold a
+    space only as the first character of a match or among other white space. The tables that go to the
     executors are as large as the vocabulary. ``ids`` and ``decoded`` replace
     columns of that name. Rows are independent of one another.
     """
@@ -177,13 +229,12 @@ def tokenize(
     @F.pandas_udf(f"{ids} binary, {decoded} binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashed = PerfectHash(*table.value)
-        memo, split = Memo(hashed), regex.compile(pattern).findall
+        encoder = Encoder(hashed, pattern)
         by_rank = {rank: key for key, rank in zip(hashed.keys, hashed.ranks, strict=True)}
         for texts in batches:
             packed, plain = [], []
             for value in texts:
-                words = split(value) if value else []
-                data = b"".join(map(memo.__getitem__, words))
+                data = encoder.encode(value) if value else b""
                 packed.append(data)
                 plain.append(b"".join(map(by_rank.__getitem__, np.frombuffer(data, "<u4").tolist())))
             yield pd.DataFrame({ids: packed, decoded: plain})
