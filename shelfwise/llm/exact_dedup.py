@@ -19,7 +19,11 @@ from shelfwise.functions.columns import quoted
 from shelfwise.functions.staging import new_path, stage
 from shelfwise.llm.tables import FILE, POSITION, located, normal_space
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each store would reserve some MB of disk for its logs, also if it holds little.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -34,7 +38,8 @@ def update_state(spark: SparkSession, fingerprints: str, schema: StructType, che
     """
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for name, value in STATE_STORE.items():
+        session.conf.set(name, value)
     groups = (
         session.readStream.schema(schema)
         .parquet(fingerprints)
@@ -49,13 +54,15 @@ def update_state(spark: SparkSession, fingerprints: str, schema: StructType, che
         .start()
     )
     query.awaitTermination()
-    state = spark.read.format("statestore").load(checkpoint)
+    state = session.read.format("statestore").load(checkpoint)
     least, count = state.schema["value"].dataType.names
-    return state.select(
+    held = new_path(spark, "state")
+    state.select(
         F.col("key.digest").alias("digest"),
         F.col("value")[least].alias("keep"),
         F.col("value")[count].alias("n"),
-    )
+    ).write.parquet(held)
+    return spark.read.parquet(held)
 
 
 def exact_duplicates(
@@ -83,7 +90,7 @@ def exact_duplicates(
     prints = texts.drop("normal")
     folder = new_path(spark, "fingerprints")
     prints.write.parquet(folder)
-    state = stage(update_state(spark, folder, prints.schema, new_path(spark, "dedup-state")), "state")
+    state = update_state(spark, folder, prints.schema, new_path(spark, "dedup-state"))
     seen = spark.read.schema(prints.schema).parquet(folder)
     rows = seen.join(state, "digest").select(*prints.columns, "keep", F.col("n").alias("group_size"))
 
