@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.staging import stage
 from shelfwise.llm import byte_bpe, exact_dedup, language, minhash, mixing
 from shelfwise.llm.queries import RANKS
-from shelfwise.llm.tables import fresh, keep_rows, read
+from shelfwise.llm.tables import filed, fresh, keep_rows, read
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,16 +21,19 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id stays."""
+    docs = filed(docs)
     return keep_rows(docs, exact_dedup.exact_duplicates(docs).where("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8, the one with the smallest id stays."""
+    docs = filed(docs)
     return keep_rows(docs, minhash.near_duplicates(docs, shingle_words=5).where("stays"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document once per epoch in which the mix takes words of it."""
+    docs = filed(docs)
     mixed = mixing.mix(docs)
     copies = mixed.pieces.select("row", "epoch").distinct().join(mixed.documents, "row")
     return keep_rows(docs, copies)

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from shelfwise.functions.columns import quoted
 from shelfwise.functions.staging import new_path, stage
-from shelfwise.llm.tables import FILE, POSITION, located, normal_space
+from shelfwise.llm.tables import FILE, POSITION, filed, located, normal_space
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -79,7 +79,7 @@ def exact_duplicates(
     a group stays. An empty table gives none.
     """
     spark = docs.sparkSession
-    placed, file, position = located(docs)
+    placed, file, position = located(filed(docs))
     texts = placed.select(
         quoted(doc_id).alias("doc_id"),
         quoted(doc_id).isNull().alias("no_id"),

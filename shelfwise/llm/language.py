@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
 from shelfwise.llm.shipping import by_value
-from shelfwise.llm.tables import FILE, POSITION, located
+from shelfwise.llm.tables import FILE, POSITION, filed, located
 
 by_value(__name__)
 
@@ -87,7 +87,7 @@ def training_rows(
     language, ``max_rows`` in all. Ids, languages and counts are read first, then
     only the texts of the sample.
     """
-    placed, file, position = located(docs)
+    placed, file, position = located(filed(docs))
     labelled = placed.select(
         quoted(lang).cast("string").alias("lang"),
         F.col(file).alias(FILE),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
 from shelfwise.functions.staging import stage
-from shelfwise.llm.tables import FILE, POSITION, SPACE, fresh, located
+from shelfwise.llm.tables import FILE, POSITION, SPACE, filed, fresh, located
 
 VARIABLE = "<*>"
 #: Leading tokens that choose the leaf.
@@ -60,7 +60,7 @@ def recurring(docs: DataFrame, text: str = "text", min_documents: int = MIN_DOCU
     of the masked line, null where the whole leaf is one template. Places:
     ``file, position, line_no``.
     """
-    every = lines_of(docs, text)
+    every = lines_of(filed(docs), text)
     placed = stage(
         every.select(FILE, POSITION, "line_no", "tokens", "lead", F.xxhash64("masked").alias("digest")), "lines"
     )
@@ -123,6 +123,7 @@ def drop_recurring_lines(
     whose lines all go becomes empty. Rows are told apart by their place, so null
     and repeated ids do no harm. ``dropped`` replaces a column of that name.
     """
+    docs = filed(docs)
     _, places = recurring(docs, text, min_documents)
     gone = places.groupBy(FILE, POSITION).agg(F.sort_array(F.collect_set("line_no")).alias("gone__"))
     placed, file, position = located(docs)

@@ -27,7 +27,7 @@ from shelfwise.functions.columns import quoted
 from shelfwise.functions.staging import stage
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.shipping import by_value
-from shelfwise.llm.tables import FILE, POSITION, located, numbered
+from shelfwise.llm.tables import FILE, POSITION, filed, located, numbered
 
 by_value(__name__)
 
@@ -291,6 +291,7 @@ def near_duplicates(
     the smallest if another is there. ``stays`` marks one row per component, also
     where ids repeat. An empty table gives none.
     """
+    docs = filed(docs)
     placed, file, position = located(docs)
     texts = placed.select(
         quoted(doc_id).alias("doc_id"), F.col(file).alias(FILE), F.col(position).alias(POSITION),

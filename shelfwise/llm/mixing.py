@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import key_hash, quoted
 from shelfwise.functions.ordering import running_totals
 from shelfwise.functions.staging import stage
-from shelfwise.llm.tables import FILE, POSITION, SPACE, located, numbered
+from shelfwise.llm.tables import FILE, POSITION, SPACE, filed, located, numbered
 
 # Golden ratio as a fraction of 2^62, in two 31-bit halves: products of halves
 # never overflow a long.
@@ -63,7 +63,7 @@ def mix(
     The order of a source depends on ids, epoch and seed alone (rows with the
     same id: on their place). An empty table gives an empty mix.
     """
-    placed, file, position = located(docs)
+    placed, file, position = located(filed(docs))
     sized = numbered(
         placed.select(
             quoted(doc_id).alias("doc_id"),

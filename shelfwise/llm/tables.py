@@ -27,17 +27,24 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
+def filed(df: DataFrame) -> DataFrame:
+    """``df`` if its rows lie in files, else its staged copy."""
+    try:
+        _with_place(df, FILE, POSITION)
+        return df
+    except AnalysisException:
+        return stage(df, "filed")
+
+
 def located(df: DataFrame) -> tuple[DataFrame, str, str]:
     """Add the place of each row, a file and a position in it, and name both columns.
 
     The place identifies a row whatever its values are: ids may be null or
-    repeated. A frame that is not read from files is staged first.
+    repeated. ``df`` must be read from files (see ``filed``), so that its rows have
+    the same places whenever they are read.
     """
     file, position = fresh(df.columns, FILE), fresh(df.columns, POSITION)
-    try:
-        return _with_place(df, file, position), file, position
-    except AnalysisException:
-        return _with_place(stage(df, "located"), file, position), file, position
+    return _with_place(df, file, position), file, position
 
 
 def _with_place(df: DataFrame, file: str, position: str) -> DataFrame:
