@@ -385,7 +385,7 @@ def sql_queries() -> dict[str, Query]:
 
 
 # Settings of the model queries: small fits over whole tables.
-ALS_SETTINGS = {"alpha": 20.0, "rank": 5, "reg": 0.1, "iterations": 5}
+ALS_SETTINGS = {"alpha": 20.0, "rank": 5, "reg": 0.1, "iterations": 50}
 FOREST = {"n_estimators": 10, "max_depth": 5}
 LINE_FEATURES = ["QUANTITY", "SHOP_HOUR", "SHOP_WEEKDAY", "BASKET_SIZE"]
 LINE_KEYS = ["BASKET_ID", PROD]
@@ -427,7 +427,7 @@ def predict_top_x(spark, path):
 
 def als_tune(spark, path):
     data = recommend.als_input(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
-    space = {**recommend.ALS_SPACE, "iterations": [3, 5]}
+    space = {**recommend.ALS_SPACE, "iterations": [50]}
     return recommend.trial_columns(recommend.tune_als(data.train, data.test, 3, space).trials)
 
 
@@ -521,7 +521,7 @@ def feature_table(spark, path):
 
 def recommend_products(spark, path):
     return weekly.recommend_products(
-        basket_view(spark, path), WINDOWS, top_x=1000, **ALS_SETTINGS
+        basket_view(spark, path), WINDOWS, top_x=20, **ALS_SETTINGS
     ).predictions
 
 

@@ -24,6 +24,11 @@ def bucket(expr: str, n: int, digits: int = 8) -> str:
     return f"(('0x' || substr(md5({expr}), 1, {digits}))::BIGINT % {n})"
 
 
+def below(expr: str, share: float) -> str:
+    """Whether the 32-bit hash of a key lies in the first part of its range."""
+    return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT < {share}::DOUBLE * 4294967296"
+
+
 DAY_PART = (
     "CASE WHEN SHOP_HOUR BETWEEN 8 AND 11 THEN 'MORNING' WHEN SHOP_HOUR BETWEEN 12 AND 16"
     " THEN 'AFTERNOON' WHEN SHOP_HOUR >= 17 THEN 'EVENING' END"
@@ -186,7 +191,8 @@ def drawn(side: int) -> dict[str, str]:
     }
 
 
-SPLIT = f"SELECT CUST_CODE, CAST({bucket(chr(67) + 'UST_CODE || ' + chr(39) + '|42' + chr(39), 1000)} < 300 AS INT) AS IN_TEST FROM active"
+CUST_KEY = "CUST_CODE || '|42'"
+SPLIT = f"SELECT CUST_CODE, CAST({below(chr(67) + 'UST_CODE || ' + chr(39) + '|42' + chr(39), 0.3)} AS INT) AS IN_TEST FROM active"
 SAMPLE_CTES = {
     "targets": TARGETS,
     "active": ACTIVE_CUSTOMERS,
@@ -407,7 +413,7 @@ def oracle_sql() -> dict[str, str]:
             targets=TARGETS,
         ),
         "als_holdout": with_txn(
-            f"SELECT *, CAST({bucket(PAIR_KEY.format(seed=1234), 1000)} < 100 AS INT) AS IN_TEST FROM quant", quant=QUANT
+            f"SELECT *, CAST({below(PAIR_KEY.format(seed=1234), 0.1)} AS INT) AS IN_TEST FROM quant", quant=QUANT
         ),
         "create_mapping": with_txn("SELECT * FROM m", quant=QUANT, m=CUST_MAP),
         "merge_mapping": with_txn(
@@ -445,8 +451,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "customer_split": with_txn("SELECT * FROM split", active=ACTIVE_CUSTOMERS, split=SPLIT),
         "three_way_split": with_txn(
-            f"SELECT CUST_CODE, PROD_CODE, QUANTITY, CASE WHEN b < 670 THEN 'train' WHEN b < 835 THEN 'test' ELSE 'valid' END AS SPLIT"
-            f" FROM (SELECT *, {bucket('CUST_CODE || ' + chr(39) + '|42' + chr(39), 1000)} AS b FROM quant)",
+            f"SELECT CUST_CODE, PROD_CODE, QUANTITY, CASE WHEN {below(CUST_KEY, 0.67)} THEN 'train' WHEN {below(CUST_KEY, 0.835)} THEN 'test' ELSE 'valid' END AS SPLIT"
+            " FROM quant",
             quant=QUANT,
         ),
         "sample_non_target": with_txn(
@@ -456,7 +462,7 @@ def oracle_sql() -> dict[str, str]:
             **LABEL_CTES,
         ),
         "row_split": with_txn(
-            f"SELECT *, CAST({bucket(PAIR_KEY.format(seed=0), 1000)} < 200 AS INT) AS IN_TEST FROM pairs", **LABEL_CTES
+            f"SELECT *, CAST({below(PAIR_KEY.format(seed=0), 0.2)} AS INT) AS IN_TEST FROM pairs", **LABEL_CTES
         ),
         "stratified_folds": with_txn(
             "SELECT CUST_CODE, PROD_CODE, TARGET, CAST((row_number() OVER (PARTITION BY TARGET ORDER BY"

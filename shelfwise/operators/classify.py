@@ -33,28 +33,19 @@ FEATURES = "features"
 WEIGHT = "weight"
 PROBABILITY = "probability_1"
 
-# Labels are classes; more distinct labels than this are a wrong column.
-MAX_CLASSES = 100
 
+def class_weights(df: DataFrame, label: str = TARGET, weight: str = WEIGHT) -> DataFrame:
+    """Add the balanced weight: rows / (classes x rows of the class).
 
-def class_counts(df: DataFrame, label: str = TARGET) -> dict:
-    counted = (
-        df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    The counts are a table that is joined; rows without a label get no weight.
+    """
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("class_n"))
+    totals = counts.agg(F.sum("class_n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+    per_class = counts.select(
+        F.col(label).alias("class_label"),
+        (F.lit(totals.rows).cast("double") / (F.lit(totals.classes) * F.col("class_n"))).alias(weight),
     )
-    rows = counted.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["n"] for r in rows}
-
-
-def class_weights(df: DataFrame, label: str = TARGET, weight: str = WEIGHT) -> DataFrame:
-    """Add the balanced weight: rows / (classes x rows of the class)."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    column = F.lit(None).cast("double")
-    for value, n in counts.items():
-        column = F.when(F.col(label) == value, F.lit(total / (len(counts) * n))).otherwise(column)
-    return df.withColumn(weight, column)
+    return df.join(per_class, F.col(label) == F.col("class_label"), "left").select(*df.columns, weight)
 
 
 @dataclass(frozen=True)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,11 +139,43 @@ def squared_corr(df: DataFrame, target: str, k: int = 10, columns: Sequence[str]
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]):
-    """Pearson matrix as a numpy array of features x features. It is built from
-    partial sums over the rows; only the matrix reaches the driver."""
-    vector = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="error")
-    rows = df.select(*[quoted(c).cast("double").alias(c) for c in columns])
-    return Correlation.corr(vector.transform(rows), "v", "pearson").first()[0].toArray()
+    """Pearson matrix as a numpy array of features x features, each pair over the
+    rows where both are set (null and NaN are not).
+
+    Each batch gives sums of products, squares, values and counts per pair; they
+    are added by Spark, so only one row per pair reaches the driver. Values are
+    taken from the column means, which keeps the sums exact enough.
+    """
+    columns = list(columns)
+    size = len(columns)
+    inputs = [F.nanvl(quoted(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)]
+    rows = df.select(*inputs)
+    means = np.array([m or 0.0 for m in rows.agg(*[F.avg(c) for c in rows.columns]).first()], float)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((5, size, size))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - means
+            on = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            total += np.stack([on.T @ on, x.T @ on, on.T @ x, (x * x).T @ on, x.T @ x])
+        i, j = (a.ravel() for a in np.indices((size, size)))
+        yield pd.DataFrame({"i": i, "j": j, **{f"s{k}": total[k].ravel() for k in range(5)}})
+
+    added = (
+        rows.mapInPandas(sums, "i int, j int, s0 double, s1 double, s2 double, s3 double, s4 double")
+        .groupBy("i", "j")
+        .agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(5)])
+    )
+    n, left, right, square, product = np.zeros((5, size, size))
+    for r in added.collect():
+        at = r.i, r.j
+        n[at], left[at], right[at], square[at], product[at] = r.s0, r.s1, r.s2, r.s3, r.s4
+    with np.errstate(all="ignore"):
+        spread = np.maximum(square - left * left / n, 0)
+        matrix = (product - left * right / n) / np.sqrt(spread * spread.T)
+    constant = spread <= 1e-14 * square
+    return np.where(constant | constant.T, np.nan, matrix)
 
 
 def paired_corr(df: DataFrame, n: int, columns: Sequence[str] | None = None) -> DataFrame:

@@ -24,9 +24,10 @@ ITEM_INDEX = "index_PROD_CODE"
 RATING = "QUANTITY"
 SCORE = "PRED_QUANTITY"
 
-# There are far fewer products than customers, and every customer block sends to
-# every product block.
-ITEM_BLOCKS = 64
+# Blocks of the factor tables. The seeded start depends on them, so they do not
+# follow the session. There are far fewer products than customers, and every
+# customer block sends to every product block.
+USER_BLOCKS, ITEM_BLOCKS = 16, 8
 
 
 def cust_quant_summ(df: DataFrame, start: int, end: int) -> DataFrame:
@@ -82,28 +83,29 @@ def fit_als(
     alpha: float = 20.0,
     rank: int = 5,
     reg: float = 0.1,
-    iterations: int = 10,
+    iterations: int = 50,
     seed: int = 0,
+    user_blocks: int = USER_BLOCKS,
+    item_blocks: int = ITEM_BLOCKS,
 ) -> ALSModel:
     """Fit implicit ALS on (customer id, product id, quantity).
 
     Spark scales the penalty by the number of ratings of a row and takes the
     confidence as 1 + alpha x rating, so ``reg`` is much smaller than for
     libraries with a plain penalty. Factors are checkpointed every few
-    iterations, which cuts the lineage of a long fit; there are as many
-    customer blocks as shuffle partitions.
+    iterations, which cuts the lineage of a long fit. The numbers of blocks are
+    settings of the fit: raise them with the cluster.
     """
     spark = ratings.sparkSession
     stage_root(spark)  # makes sure a checkpoint folder is set
-    blocks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     als = ALS(
         rank=rank,
         maxIter=iterations,
         regParam=reg,
         alpha=float(alpha),
         implicitPrefs=True,
-        numUserBlocks=blocks,
-        numItemBlocks=min(blocks, ITEM_BLOCKS),
+        numUserBlocks=user_blocks,
+        numItemBlocks=item_blocks,
         checkpointInterval=5,
         coldStartStrategy="drop",
         seed=seed,
@@ -189,10 +191,12 @@ def predict_top_x(model: ALSModel, customers: DataFrame, items: DataFrame, top_x
     The blocked top-k of the model is asked for ``top_x + 1`` products. If the
     last one ranks beyond ``top_x``, every tie within is in the list; customers
     for whom it does not are asked again with twice as many, up to all products.
+    A customer whose factors are all zero scores every product alike and gets none.
     """
     n_items = items.count()
+    known = model.userFactors.where(F.exists("features", lambda x: x != 0)).select(F.col("id").alias("user"))
     k = min(top_x + 1, n_items)
-    found = stage(_ranked(model.recommendForAllUsers(k)), "ranked")
+    found = stage(_ranked(model.recommendForAllUsers(k)).join(known, "user", "left_semi"), "ranked")
     parts = []
     while True:
         last = found.groupBy("user").agg(F.max("pred_rank").alias("last"))

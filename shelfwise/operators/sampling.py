@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import hash_bucket, hash_number, key_hash
+from shelfwise.functions.columns import hash_number, key_hash
 from shelfwise.functions.ordering import hash_rank
 from shelfwise.functions.staging import stage
 from shelfwise.operators.labels import TARGET
@@ -20,13 +20,16 @@ from shelfwise.schema import CUST, PAIR, PROD
 # Candidates per generated range in draw_pairs.
 RANGE = 4096
 
+# Values of the hash that shares are taken from.
+HASH_VALUES = float(1 << 32)
+
 # 3 hex digits: 4,096 hash buckets per product.
 SLOT_DIGITS = 3
 
 
 def in_share(*keys: str, share: float, seed: int = 0) -> Column:
-    """True for about ``share`` of the keys; resolution is a thousandth."""
-    return hash_bucket(*keys, buckets=1000, seed=seed) < F.lit(round(share * 1000))
+    """True for about ``share`` of the keys, by the 32-bit hash of the key."""
+    return hash_number(key_hash(*keys, seed=seed)) < F.lit(share * HASH_VALUES)
 
 
 def customer_split(customers: DataFrame, test_share: float = 0.3, seed: int = 42) -> DataFrame:
@@ -42,10 +45,12 @@ def three_way_split(df: DataFrame, seed: int = 42) -> DataFrame:
     The split is a function of the customer, so all rows of one stay together
     without a join back.
     """
-    bucket = hash_bucket(CUST, buckets=1000, seed=seed)
+    number = hash_number(key_hash(CUST, seed=seed))
     return df.where(F.col(CUST).isNotNull()).withColumn(
         "SPLIT",
-        F.when(bucket < 670, "train").when(bucket < 835, "test").otherwise("valid"),
+        F.when(number < F.lit(0.67 * HASH_VALUES), "train")
+        .when(number < F.lit(0.835 * HASH_VALUES), "test")
+        .otherwise("valid"),
     )
 
 

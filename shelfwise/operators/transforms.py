@@ -20,9 +20,6 @@ from shelfwise.functions.columns import (
 from shelfwise.functions.ordering import order_statistics
 from shelfwise.schema import CUSTOMER_VOCABULARY
 
-# A categorical column becomes this many output columns at most.
-MAX_CATEGORIES = 10_000
-
 
 def winsor_bounds(
     train: DataFrame, columns: Sequence[str], lower: float, upper: float
@@ -109,16 +106,18 @@ def standardize(df: DataFrame, fitted: Mapping[str, tuple[float, float]]) -> Dat
 
 
 def categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Distinct non-null values of each column in alphabetical order."""
+    """Distinct non-null values of each column in alphabetical order.
+
+    Each value is to become a column, so the values come to the driver; leave
+    columns of free text out of ``columns``.
+    """
     pairs = ", ".join(f"{literal(c)}, `{c}`" for c in columns)
     distinct = (
         train.select(F.expr(f"stack({len(columns)}, {pairs}) as (name, value)"))
         .where(F.col("value").isNotNull())
         .distinct()
     )
-    rows = distinct.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories; this is not a category column")
+    rows = distinct.collect()
     return {c: sorted(r["value"] for r in rows if r["name"] == c) for c in columns}
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,41 +16,69 @@ from shelfwise.schema import CALENDAR_SCHEMA, TRANSACTION_SCHEMA
 
 CORRUPT = "_corrupt_record"
 CALENDAR_FILE = "time.csv"
-# Every CSV name but time.csv; globs have no negation of a whole name.
-NOT_CALENDAR = "{[!t]*,t,t[!i]*,ti,ti[!m]*,tim,tim[!e]*,time[!.]*}.csv"
+# Files whose first line is read at the same time.
+HEADER_READERS = 16
+
+
+def weekly_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Every file under ``path`` but those named exactly as the calendar."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load([path] if isinstance(path, str) else list(path))
+        .select("path")
+    )
+    return sorted(r.path for r in listed.collect() if r.path.rsplit("/", 1)[-1] != CALENDAR_FILE)
+
+
+def files_by_header(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header; empty files are left out. Only the first
+    line of each file is read."""
+
+    @inheritable_thread_target(spark)
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(file).columns)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPool(HEADER_READERS) as pool:
+        for file, names in zip(files, pool.map(header, files), strict=True):
+            if names:
+                groups.setdefault(names, []).append(file)
+    return groups
 
 
 def scan_transactions(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str] | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Read every CSV under ``path`` except the calendar file.
+    """Read every file under ``path`` except the calendar as CSV with a header.
 
-    The declared types are enforced at the read, so they cannot drift between
-    files. A file whose header differs fails the read rather than being misread;
-    ``columns`` gives the header of files that hold the columns in another order
-    or lack some. With ``keep_corrupt`` a line that does not fit is kept whole in
+    Names and endings of the files do not matter, and they may be compressed.
+    Files are appended by column name: columns that a file lacks are null, and
+    columns outside the declared schema are left out. The declared types are
+    enforced at the read, so they cannot drift between files. With
+    ``keep_corrupt`` a line that does not fit is kept whole in
     ``_corrupt_record``; otherwise its bad values are null.
     """
-    names = [path] if isinstance(path, str) else list(path)
-    fields = [TRANSACTION_SCHEMA[c] for c in columns or TRANSACTION_SCHEMA.names]
-    if keep_corrupt:
-        fields.append(T.StructField(CORRUPT, T.StringType()))
-    df = (
-        spark.read.schema(T.StructType(fields))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", NOT_CALENDAR)
-        .option("recursiveFileLookup", True)
-        .csv(names)
-    )
-    missing = [f for f in TRANSACTION_SCHEMA if f.name not in df.columns]
-    whole = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-    return whole.select(*TRANSACTION_SCHEMA.names, *([CORRUPT] if keep_corrupt else []))
+    declared = {f.name: f for f in TRANSACTION_SCHEMA}
+    extra = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
+    parts = []
+    for header, files in files_by_header(spark, weekly_files(spark, path)).items():
+        fields = [declared.get(c, T.StructField(c, T.StringType())) for c in header]
+        df = (
+            spark.read.schema(T.StructType(fields + extra))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(files)
+        )
+        whole = df.withColumns({c: F.lit(None).cast(f.dataType) for c, f in declared.items() if c not in header})
+        parts.append(whole.select(*declared, *[f.name for f in extra]))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*TRANSACTION_SCHEMA.fields, *extra]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_calendar(spark: SparkSession, folder: str) -> DataFrame:

@@ -70,6 +70,7 @@ class TiedModel:
 
     def __init__(self, spark, n):
         self.spark, self.n = spark, n
+        self.userFactors = spark.createDataFrame([(0, [0.5]), (1, [1.0]), (2, [0.0])], "id int, features array<float>")
 
     def recommendForAllUsers(self, k, users=(0, 1)):
         score = {0: lambda i: 0.5, 1: lambda i: float(self.n - i)}
@@ -214,6 +215,29 @@ def test_feature_clusters(spark, standardized):
     assert groups == brute_ward(columns.T, 3)
 
 
+def test_groups_of_trees_add_up(spark, encoded, monkeypatch):
+    df, names = encoded
+    model = small_forest(df).fit(df)
+    whole = {r.id: [*r[1:-1]] for r in explain.shap_values(df, model, names, ["id"]).collect()}
+    monkeypatch.setattr(explain, "tree_groups", lambda nodes: [[t.treeID] for t in nodes.select("treeID").distinct().collect()])
+    for r in explain.shap_values(df, model, names, ["id"]).collect():
+        assert [*r[1:-1]] == pytest.approx(whole[r.id])
+
+
+def test_als_does_not_depend_on_the_partitions(spark, ratings):
+    def factors(partitions):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        try:
+            model = recommend.fit_als(ratings[0].repartition(partitions), rank=3, iterations=20)
+            rows = [*model.userFactors.collect(), *[r for r in model.itemFactors.collect()]]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        return np.array([f for r in sorted(rows) for f in r.features])
+
+    assert np.allclose(factors(4), factors(8), atol=1e-4)
+
+
 def test_attributions_are_shapley_values(spark, encoded):
     df, names = encoded
     model = small_forest(df).fit(df)
@@ -222,7 +246,9 @@ def test_attributions_are_shapley_values(spark, encoded):
     for r in values:
         assert sum(r[n] for n in names) + r.base_value == pytest.approx(probability[r.id])
     # Brute force: expectation with only a set of features known, over all sets.
-    paths, base = explain.leaf_paths(spark, model)
+    nodes = explain.stored_nodes(spark, model)
+    trees = sorted(t for group in explain.tree_groups(nodes) for t in group)
+    paths, base = explain.leaf_paths(nodes, trees, len(trees))
     row = values[5]
     x = np.array(row.x)
 

@@ -130,3 +130,23 @@ def test_counts(spark):
     assert {tuple(r) for r in profile.segment_census(df, ["s"]).collect()} == {("s", "a", 1), ("s", "b", 2)}
     known = df.where("CUST_CODE IS NOT NULL")
     assert profile.matrix_sparsity(known).first().sparsity == pytest.approx(50.0)
+
+
+def test_correlation_is_pairwise_complete(spark):
+    import numpy as np
+
+    from shelfwise.operators.profile import correlation_matrix, paired_corr
+
+    draw = np.random.default_rng(3)
+    x = draw.standard_normal((200, 3)) * [1, 50, 1e-3] + [0, 1e6, 5]
+    x[:, 1] += 30 * x[:, 0]
+    x[draw.random((200, 3)) < 0.2] = np.nan
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) + (7.0,) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double").repartition(3)
+    found = correlation_matrix(df, df.columns)
+    for i in range(3):
+        for j in range(3):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            assert abs(found[i, j] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+    assert np.isnan(found[3]).all()
+    assert paired_corr(df, 1).first()[:2] == ("a", "b")
