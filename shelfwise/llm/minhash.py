@@ -8,7 +8,8 @@ further, the others are confirmed on their full sets.
 
 A group of near copies is not expanded into pairs: the members of a bucket are
 compared with its first document, the links found are contracted, and only pairs
-that are still in different components are compared with each other.
+that are still in different components are compared with each other, block by
+block, without a row per pair.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
 from shelfwise.functions.staging import stage
+from shelfwise.llm.blocks import block_groups, each_group
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.shipping import by_value
 from shelfwise.llm.tables import FILE, POSITION, filed, located, numbered
@@ -37,8 +39,8 @@ HASHES = BANDS * ROWS
 BITS = 2
 _LANES = 64 // BITS
 _WORDS = HASHES // _LANES
-#: Members compared with one copy of a bucket's first document.
-GROUP = 256
+#: Members compared with one copy of a bucket's first document; rows of a block.
+GROUP, BLOCK = 256, 512
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _SHIFT = np.uint64(29)
@@ -234,7 +236,8 @@ def component_links(reps: DataFrame, docs: DataFrame, text: str, k: int, percent
     links = links.unionByName(stage(confirm(rest, texts, k, percent), "links"))
     found = stage(connected_components(links), "found")
 
-    # All other pairs of a bucket that are still apart.
+    # All other pairs of a bucket that are still apart, block by block: first which
+    # rows have a partner by their bits, then the texts of those.
     placed_members = stage(
         members.where("n > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep")),
@@ -243,26 +246,85 @@ def component_links(reps: DataFrame, docs: DataFrame, text: str, k: int, percent
     mixed = placed_members.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high")
-    open_rows = stage(
-        placed_members.join(mixed, "key").where("rep <> first").join(bits, "rep")
-        .select("key", "rep", "component", "bits"),
-        "open",
+    open_rows = placed_members.join(mixed, "key").where("rep <> first").select("key", "rep", "component")
+    grouped = stage(
+        block_groups(open_rows, "key", "rep", BLOCK).join(reps.select("rep", "bits", "bands"), "rep"), "open"
     )
-    left = open_rows.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("bits").alias("own"))
-    right = open_rows.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("bits").alias("other"))
-    pairs = stage(
-        left.join(
-            right,
-            (left.key == right.key) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
-            & (estimate("own", "other") >= limit),
-        )
-        .select("a", "b")
-        .distinct(),
-        "pairs",
+    by_bits = stage(
+        grouped.repartition("group").sortWithinPartitions("group")
+        .mapInPandas(partners(limit), "group bigint, rep bigint"),
+        "by-bits",
+    )
+    more = stage(
+        grouped.join(by_bits, ["group", "rep"]).join(texts, "rep")
+        .repartition("group").sortWithinPartitions("group")
+        .mapInPandas(block_links(limit, k, percent), "a bigint, b bigint"),
+        "links",
     )
-    if pairs.isEmpty():
-        return found
-    return connected_components(links.unionByName(stage(confirm(pairs, texts, k, percent), "links")))
+    return connected_components(links.unionByName(more))
+
+
+def open_pairs(rows: pd.DataFrame, limit: float) -> np.ndarray:
+    """Which rows of a block may link: apart, in their first common band, similar by bits."""
+    component, bands = rows["component"].values, np.stack(rows["bands"].to_numpy())
+    bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
+    differ = np.zeros((len(rows), len(rows)), np.int64)
+    for word in bits.T:
+        x = word[:, None] ^ word[None, :]
+        differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(int("01" * _LANES, 2)))
+    chance = 2.0**-BITS
+    pairs = ((HASHES - differ) / HASHES - chance) / (1 - chance) >= limit
+    pairs &= component[:, None] != component[None, :]
+    if not rows["alone"].iloc[0]:
+        block = rows["block"].values
+        pairs &= block[:, None] != block[None, :]
+    if pairs.any():
+        band = int(np.flatnonzero(bands[0] == rows["key"].iloc[0])[0])
+        for earlier in bands[:, :band].T:
+            pairs &= earlier[:, None] != earlier[None, :]
+    return pairs
+
+
+def partners(limit: float):
+    """Function over blocks: the rows that have a partner."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame | None:
+        some = open_pairs(rows, limit).any(1)
+        return rows.loc[some, ["group", "rep"]] if some.any() else None
+
+    return lambda batches: each_group(batches, work, ["group", "rep"])
+
+
+def block_links(limit: float, k: int, percent: int):
+    """Function over blocks with texts: links confirmed on full sets, no more than
+    it takes to connect what is connected within the block."""
+    memo = WordHashes()
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame | None:
+        ids, found = rows["rep"].values, []
+        parent = {c: c for c in rows["component"].values.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        sets = [shingle_set(text, k, memo) for text in rows["text"]]
+        component = rows["component"].values.tolist()
+        for i, j in np.argwhere(np.triu(open_pairs(rows, limit))).tolist():
+            x, y = root(component[i]), root(component[j])
+            a, b = sets[i], sets[j]
+            # The smaller set bounds the intersection, the larger one the union.
+            if x == y or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                continue
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                parent[x] = y
+                found.append((ids[i], ids[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64") if found else None
+
+    return lambda batches: each_group(batches, work, ["a", "b"])
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
