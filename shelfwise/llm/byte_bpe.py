@@ -27,7 +27,7 @@ by_value(__name__)
 _WORD = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 
-#: Pre-tokens that a task remembers before it starts anew, and their greatest length.
+#: Keys of a generation of a task's memory, and their greatest length.
 MEMO_ENTRIES, MEMO_BYTES = 200_000, 64
 
 
@@ -98,20 +98,32 @@ def perfect_hash(ranks: dict[bytes, int]) -> PerfectHash:
     return PerfectHash(shift, keys, [ranks[k] for k in keys])
 
 
-class Ranks(dict):
-    """Rank of each byte string asked for, -1 outside the vocabulary; bounded."""
+class Memo(dict):
+    """Values of ``make``, in two generations of at most ``MEMO_ENTRIES`` keys: when
+    the young one is full it becomes the old one, and what is used again comes back."""
 
-    def __init__(self, table: PerfectHash):
+    def __init__(self):
         super().__init__()
-        self.table = table
+        self.old: dict = {}
 
-    def __missing__(self, token: bytes) -> int:
-        rank = self.table.rank(token)
-        if len(token) <= MEMO_BYTES:
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= MEMO_BYTES:
             if len(self) >= MEMO_ENTRIES:
+                self.old = dict(self)
                 self.clear()
-            self[token] = rank
-        return rank
+            self[key] = value
+        return value
+
+
+class Ranks(Memo):
+    """Rank of each byte string asked for, -1 outside the vocabulary."""
+
+    def __init__(self, table: PerfectHash):
+        super().__init__()
+        self.make = table.rank
 
 
 def merge(piece: bytes, ranks: Ranks) -> list[int]:
@@ -158,26 +170,24 @@ def merge(piece: bytes, ranks: Ranks) -> list[int]:
     return ids
 
 
-class Words(dict):
-    """Ids of pre-tokens, as little-endian 32-bit integers; bounded."""
+class Words(Memo):
+    """Ids of pre-tokens, as little-endian 32-bit integers."""
 
     def __init__(self, table: PerfectHash):
         super().__init__()
-        self.table, self.ranks = table, Ranks(table)
+        self.rank, self.ranks = table.rank, Ranks(table)
+        self.packed = {r: r.to_bytes(4, "little") for r in table.ranks}
 
-    def __missing__(self, word: str) -> bytes:
+    def make(self, word: str) -> bytes:
         piece = word.encode()
-        rank = self.table.rank(piece)
-        packed = np.array([rank] if rank >= 0 else merge(piece, self.ranks), "<u4").tobytes()
-        if len(piece) <= MEMO_BYTES:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[word] = packed
-        return packed
+        rank = self.rank(piece)
+        if rank >= 0:
+            return self.packed[rank]
+        return b"".join(map(self.packed.__getitem__, merge(piece, self.ranks)))
 
 
-class Encoder(dict):
-    """Ids of what stands between two spaces, the first of them included; bounded.
+class Encoder(Memo):
+    """Ids of what stands between two spaces, the first of them included.
 
     A pre-token holds a space only as its first character or among other white
     space. So a text without white space after a space may be cut before each
@@ -189,13 +199,8 @@ class Encoder(dict):
         self.words, self.split = Words(table), regex.compile(pattern).findall
         self.run = regex.compile(r" \s").search
 
-    def __missing__(self, part: str) -> bytes:
-        packed = self.whole(" " + part)
-        if len(part) <= MEMO_BYTES:
-            if len(self) >= 2 * MEMO_ENTRIES:
-                self.clear()
-            self[part] = packed
-        return packed
+    def make(self, part: str) -> bytes:
+        return self.whole(" " + part)
 
     def whole(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.split(text)))
