@@ -8,6 +8,7 @@ same rows.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from multiprocessing.pool import ThreadPool
 
@@ -27,9 +28,52 @@ def stage_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/stages-{sc.applicationId}"
 
 
+_open = threading.local()
+
+
+class Scratch:
+    """Stages made inside are deleted at the end, but for what ``result`` stores.
+
+        with Scratch(spark) as scratch:
+            ...
+            return scratch.result(table)
+
+    Scopes nest: a result of an inner scope goes with the outer one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.kept = spark, [], set()
+
+    def __enter__(self) -> Scratch:
+        _open.scopes = [*getattr(_open, "scopes", []), self]
+        return self
+
+    def result(self, df: DataFrame, label: str = "result") -> DataFrame:
+        path = new_path(self.spark, label)
+        self.kept.add(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error) -> None:
+        _open.scopes = _open.scopes[:-1]
+        if _open.scopes:
+            _open.scopes[-1].paths += self.kept
+        for path in self.paths:
+            if path not in self.kept:
+                _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_path(spark: SparkSession, label: str = "stage") -> str:
     """Place of a new stage that nothing else writes to."""
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if scopes := getattr(_open, "scopes", []):
+        scopes[-1].paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -56,5 +100,4 @@ def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete the stages of this application once its results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, stage_root(spark))

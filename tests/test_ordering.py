@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -66,3 +67,21 @@ def test_column_functions(spark):
     # Two key columns cannot run together.
     collide = spark.createDataFrame([("1", "23"), ("12", "3")], "a string, b string")
     assert collide.select(C.key_hash("a", "b")).distinct().count() == 2
+
+
+def test_scratch_deletes_all_but_the_result(spark):
+    from shelfwise.functions.staging import Scratch, stage
+
+    def place(df):
+        return df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+
+    with Scratch(spark) as outer:
+        with Scratch(spark) as inner:
+            lost = stage(spark.range(3))
+            middle = inner.result(lost.selectExpr("id + 1 AS id"))
+            gone = place(lost)
+        assert not os.path.exists(gone) and middle.count() == 3
+        between = place(middle)
+        last = outer.result(middle.selectExpr("id * 2 AS id"))
+    assert not os.path.exists(between)
+    assert sorted(r.id for r in last.collect()) == [2, 4, 6]
