@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.staging import stage
+from shelfwise.functions.staging import Scratch, stage
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -19,6 +19,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     The component is the smallest node that links reach. Self links and repeated
     links do no harm; rows with a null are ignored. An empty table gives none.
     """
+    with Scratch(links.sparkSession) as scratch:
+        return scratch.result(_contract(links), "components")
+
+
+def _contract(links: DataFrame) -> DataFrame:
     edges = stage(
         links.where(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfwise.functions.columns import quoted
-from shelfwise.functions.staging import new_path, stage
+from shelfwise.functions.staging import Scratch, new_path, stage
 from shelfwise.llm.tables import FILE, POSITION, filed, located, normal_space
 
 STATE_STORE = {
@@ -78,6 +78,11 @@ def exact_duplicates(
     ids last, and of repeated ids the one that lies first; so exactly one row of
     a group stays. An empty table gives none.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.result(_exact_duplicates(docs, doc_id, text, digest), "exact")
+
+
+def _exact_duplicates(docs: DataFrame, doc_id: str, text: str, digest: Callable[[Column], Column]) -> DataFrame:
     spark = docs.sparkSession
     placed, file, position = located(filed(docs))
     texts = placed.select(

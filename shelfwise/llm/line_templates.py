@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
-from shelfwise.functions.staging import stage
+from shelfwise.functions.staging import Scratch, stage
 from shelfwise.llm.tables import FILE, POSITION, SPACE, filed, fresh, located
 
 VARIABLE = "<*>"
@@ -60,7 +60,13 @@ def recurring(docs: DataFrame, text: str = "text", min_documents: int = MIN_DOCU
     of the masked line, null where the whole leaf is one template. Places:
     ``file, position, line_no``.
     """
-    every = lines_of(filed(docs), text)
+    with Scratch(docs.sparkSession) as scratch:
+        templates, places = _recurring(filed(docs), text, min_documents)
+        return scratch.result(templates, "templates"), scratch.result(places, "places")
+
+
+def _recurring(docs: DataFrame, text: str, min_documents: int) -> tuple[DataFrame, DataFrame]:
+    every = lines_of(docs, text)
     placed = stage(
         every.select(FILE, POSITION, "line_no", "tokens", "lead", F.xxhash64("masked").alias("digest")), "lines"
     )

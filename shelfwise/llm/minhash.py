@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
-from shelfwise.functions.staging import stage
+from shelfwise.functions.staging import Scratch, stage
 from shelfwise.llm.blocks import block_groups, each_group
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.shipping import by_value
@@ -353,6 +353,11 @@ def near_duplicates(
     the smallest if another is there. ``stays`` marks one row per component, also
     where ids repeat. An empty table gives none.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.result(_near_duplicates(docs, doc_id, text, shingle_words, percent), "near")
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str, shingle_words: int, percent: int) -> DataFrame:
     docs = filed(docs)
     placed, file, position = located(docs)
     texts = placed.select(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import key_hash, quoted
 from shelfwise.functions.ordering import running_totals
-from shelfwise.functions.staging import stage
+from shelfwise.functions.staging import Scratch, stage
 from shelfwise.llm.tables import FILE, POSITION, SPACE, filed, located, numbered
 
 # Golden ratio as a fraction of 2^62, in two 31-bit halves: products of halves
@@ -63,6 +63,12 @@ def mix(
     The order of a source depends on ids, epoch and seed alone (rows with the
     same id: on their place). An empty table gives an empty mix.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        found = _mix(docs, doc_id, text, source, weights, share, max_repeats, block_words, seed)
+        return Mix(*[scratch.result(df, name) for name, df in found._asdict().items()])
+
+
+def _mix(docs, doc_id, text, source, weights, share, max_repeats, block_words, seed) -> Mix:
     placed, file, position = located(filed(docs))
     sized = numbered(
         placed.select(

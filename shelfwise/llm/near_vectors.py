@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
-from shelfwise.functions.staging import stage
+from shelfwise.functions.staging import Scratch, stage
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.shipping import by_value
 from shelfwise.llm.tables import numbered
@@ -159,6 +159,11 @@ def near_vectors(
     ``component_id`` is the smallest id reached, null ids aside; ``kept`` says that
     it is the row's own. Repeated ids are rows of their own. Empty in, empty out.
     """
+    with Scratch(vectors.sparkSession) as scratch:
+        return scratch.result(_near_vectors(vectors, vec_id, vector, label, least), "near")
+
+
+def _near_vectors(vectors: DataFrame, vec_id: str, vector: str, label: str, least: float) -> DataFrame:
     rows = numbered(
         vectors.select(
             quoted(vec_id).alias("vec_id"),
