@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -222,6 +223,46 @@ def merge_features(spark, path):
     return merged[0].unionByName(merged[1])
 
 
+class FixedModel(NamedTuple):
+    """Stands for a fitted factorisation, with known factors."""
+
+    userFactors: DataFrame
+    itemFactors: DataFrame
+    rank: int
+
+
+def fixed_model(spark, path):
+    """Known factors over the real ids, the id tables and the rated pairs."""
+    rows = stage(quantities(spark, path), "quantities")
+    maps = {key: stage(dense_index(rows, key, f"index_{key}"), "ids") for key in PAIR}
+    sides = [
+        fixed_factors(rows, key).join(ids, key).select(
+            F.col(f"index_{key}").alias("id"), F.array("factor_0", "factor_1").alias("features")
+        )
+        for key, ids in maps.items()
+    ]
+    pairs = recommend.merge_mapping(rows, maps[CUST], maps[PROD])
+    return FixedModel(*sides, 2), maps, pairs
+
+
+def score_pairs_fixed(spark, path):
+    model, _, pairs = fixed_model(spark, path)
+    return recommend.score_pairs(model, pairs).select(*PAIR, "QUANTITY", F.round("PRED_QUANTITY", 9).alias("score"))
+
+
+def mse_fixed(spark, path):
+    model, _, pairs = fixed_model(spark, path)
+    return recommend.als_mse(model, pairs.where("QUANTITY > 50"), pairs.where("QUANTITY <= 50")).select(
+        "split", "n", F.round("mse", 6).alias("mse")
+    )
+
+
+def factor_tables_fixed(spark, path):
+    model, maps, _ = fixed_model(spark, path)
+    users, items = recommend.user_item_factors(model, maps[CUST], maps[PROD])
+    return users.withColumnRenamed(CUST, "code").unionByName(items.withColumnRenamed(PROD, "code"))
+
+
 def merge_mapping(spark, path):
     rows = stage(quantities(spark, path), "quantities")
     return recommend.merge_mapping(
@@ -326,6 +367,12 @@ def sql_queries() -> dict[str, Query]:
         ),
         "create_mapping": lambda s, p: dense_index(quantities(s, p), CUST, "index_CUST_CODE"),
         "merge_mapping": merge_mapping,
+        "score_pairs_fixed": score_pairs_fixed,
+        "mse_fixed": mse_fixed,
+        "factor_tables_fixed": factor_tables_fixed,
+        "model_store": model_store,
+        "pairs_csv_roundtrip": pairs_csv_roundtrip,
+        "label_first_csv": label_first_csv,
         "sp_vi_qu": summary,
         "chng_features": lambda s, p: hierarchy.chng_features(summary(s, p), WINDOWS.labels[::-1]),
         "time_last_purchased": gaps,
@@ -461,6 +508,33 @@ def train_evaluate(spark, path):
     return classify.train_evaluate("forest", line_splits(spark, path), FOREST)[1]
 
 
+def model_store(spark, path):
+    """Validation rows, and those that a stored and loaded model scores otherwise."""
+    splits = line_splits(spark, path)
+    model = classify.train("logistic", splits, {})
+    folder = scratch(spark, "model")
+    model_tables.save_model(model, folder)
+    before = classify.score(model, splits.valid)
+    after = classify.score(model_tables.load_model(spark, folder), splits.valid)
+    return before.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(before.exceptAll(after).count()).alias("n_different"))
+
+
+def pairs_csv_roundtrip(spark, path):
+    """Target pairs stored as CSV and read with their schema."""
+    pairs = target_pairs(spark, path)
+    folder = scratch(spark, "pairs")
+    transactions.write_table(pairs, folder, "csv")
+    return transactions.read_table(spark, folder, "csv", pairs.schema)
+
+
+def label_first_csv(spark, path):
+    """Lines stored label first without a header."""
+    rows = with_target(basket_view(spark, path))
+    folder = scratch(spark, "label-first")
+    model_tables.write_label_first(rows, folder, ["QUANTITY", "SHOP_HOUR"])
+    return spark.read.schema("TARGET int, QUANTITY int, SHOP_HOUR int").csv(folder)
+
+
 def tune_classifier(spark, path):
     splits = line_splits(spark, path)
     search = classify.tune_classifier("logistic", splits.train, splits.test, trials=4)

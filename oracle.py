@@ -293,6 +293,7 @@ NORMAL = (
 CUST_MAP = "SELECT CUST_CODE, row_number() OVER (ORDER BY CUST_CODE) - 1 AS index_CUST_CODE FROM (SELECT DISTINCT CUST_CODE FROM quant)"
 ITEM_MAP = "SELECT PROD_CODE, row_number() OVER (ORDER BY PROD_CODE) - 1 AS index_PROD_CODE FROM (SELECT DISTINCT PROD_CODE FROM quant)"
 CORR_COLUMNS = ["SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY", "SPEND", "SHOP_WEEK"]
+DOT = "USER_factor_0 * ITEM_factor_0 + USER_factor_1 * ITEM_factor_1"
 PAIR_KEY = "CUST_CODE || '|' || PROD_CODE || '|{seed}'"
 BASKET_SEGMENTS = ["BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "BASKET_TYPE", "BASKET_DOMINANT_MISSION"]
 CUSTOMER_SEGMENTS = ["CUST_PRICE_SENSITIVITY", "CUST_LIFESTAGE"]
@@ -415,6 +416,25 @@ def oracle_sql() -> dict[str, str]:
         "als_holdout": with_txn(
             f"SELECT *, CAST({below(PAIR_KEY.format(seed=1234), 0.1)} AS INT) AS IN_TEST FROM quant", quant=QUANT
         ),
+        "score_pairs_fixed": with_txn(
+            f"SELECT CUST_CODE, PROD_CODE, QUANTITY, round({DOT}, 9) AS score FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE)",
+            quant=QUANT, u=USER_FACTORS, i=ITEM_FACTORS,
+        ),
+        "mse_fixed": with_txn(
+            "SELECT CASE WHEN QUANTITY > 50 THEN 'train' ELSE 'test' END AS split, count(*) AS n,"
+            f" round(avg(pow(QUANTITY - ({DOT}), 2)), 6) AS mse FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE) GROUP BY 1",
+            quant=QUANT, u=USER_FACTORS, i=ITEM_FACTORS,
+        ),
+        "factor_tables_fixed": with_txn(
+            "SELECT CUST_CODE AS code, USER_factor_0 AS factor_0, USER_factor_1 AS factor_1 FROM u"
+            " UNION ALL SELECT PROD_CODE, ITEM_factor_0, ITEM_factor_1 FROM i",
+            u=USER_FACTORS, i=ITEM_FACTORS,
+        ),
+        "model_store": with_txn(
+            f"SELECT count(*) AS n, 0::BIGINT AS n_different FROM txn WHERE {below('BASKET_ID || ' + chr(39) + '|7' + chr(39), 0.3)}"
+        ),
+        "pairs_csv_roundtrip": with_txn("SELECT * FROM targets", targets=TARGETS),
+        "label_first_csv": with_txn("SELECT CAST(BASKET_TYPE = 'Top Up' AS INT) AS TARGET, QUANTITY, SHOP_HOUR FROM txn"),
         "create_mapping": with_txn("SELECT * FROM m", quant=QUANT, m=CUST_MAP),
         "merge_mapping": with_txn(
             "SELECT q.*, c.index_CUST_CODE, i.index_PROD_CODE FROM quant q JOIN cmap c ON c.CUST_CODE = q.CUST_CODE"
