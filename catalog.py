@@ -58,6 +58,7 @@ WINDOWS = Windows(
 )
 # The curated model features carry these period names.
 CURATED = replace(WINDOWS, labels=("52", "26", "8", "1"))
+EVERY_WEEK = (0, 999999)
 CORR_COLUMNS = ["SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY", "SPEND", "SHOP_WEEK"]
 BASKET_SEGMENTS = ["BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "BASKET_TYPE", "BASKET_DOMINANT_MISSION"]
 CUSTOMER_SEGMENTS = ["CUST_PRICE_SENSITIVITY", "CUST_LIFESTAGE"]
@@ -99,7 +100,7 @@ def observed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def segmented(spark: SparkSession, path: str) -> DataFrame:
-    return segments.with_shopping_segments(observed(spark, path))
+    return segments.with_shopping_segments(basket_view(spark, path))
 
 
 def target_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -117,7 +118,7 @@ def pair_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quantities(spark: SparkSession, path: str) -> DataFrame:
-    return recommend.cust_quant_summ(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    return recommend.cust_quant_summ(basket_view(spark, path), *EVERY_WEEK)
 
 
 def with_target(df: DataFrame) -> DataFrame:
@@ -301,7 +302,7 @@ def winsorize(spark, path):
 
 
 def standardize(spark, path):
-    fitted = transforms.moments(observed(spark, path), ["QUANTITY", "SPEND"])
+    fitted = transforms.moments(basket_view(spark, path), ["QUANTITY", "SPEND"])
     rows = basket_view(spark, path).select("BASKET_ID", PROD, "QUANTITY", "SPEND")
     return rounded(transforms.standardize(rows, fitted), 6)
 
@@ -360,7 +361,7 @@ def sql_queries() -> dict[str, Query]:
         "add_non_target": pair_table,
         "merge_features": merge_features,
         "append_cust_segments": lambda s, p: assemble.append_cust_segments(
-            observed(s, p), target_pairs(s, p)
+            view(s, p), target_pairs(s, p)
         ),
         "als_holdout": lambda s, p: split_flag(
             sampling.als_holdout(quantities(s, p), 0.1), (1, 0)
@@ -377,7 +378,9 @@ def sql_queries() -> dict[str, Query]:
         "chng_features": lambda s, p: hierarchy.chng_features(summary(s, p), WINDOWS.labels[::-1]),
         "time_last_purchased": gaps,
         "time_since_ratios": lambda s, p: recency.time_since_ratios(gaps(s, p)),
-        "cust_quant_summ": quantities,
+        "cust_quant_summ": lambda s, p: recommend.cust_quant_summ(
+            observed(s, p), WINDOWS.obs_start, WINDOWS.obs_end
+        ),
         "seg_summary_cust": lambda s, p: segments.seg_summary(
             segmented(s, p), CUST, values=SEGMENT_VALUES
         ),
@@ -439,7 +442,7 @@ LINE_KEYS = ["BASKET_ID", PROD]
 
 
 def fitted_als(spark, path):
-    data = recommend.als_input(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    data = recommend.als_input(basket_view(spark, path), *EVERY_WEEK)
     return data, recommend.fit_als(data.train, **ALS_SETTINGS)
 
 
@@ -473,7 +476,7 @@ def predict_top_x(spark, path):
 
 
 def als_tune(spark, path):
-    data = recommend.als_input(observed(spark, path), WINDOWS.obs_start, WINDOWS.obs_end)
+    data = recommend.als_input(basket_view(spark, path), *EVERY_WEEK)
     space = {**recommend.ALS_SPACE, "iterations": [50]}
     return recommend.trial_columns(recommend.tune_als(data.train, data.test, 3, space).trials)
 

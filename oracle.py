@@ -45,7 +45,7 @@ PAIR_TABLE = (
     " LEFT JOIN targets t ON t.CUST_CODE = a.CUST_CODE AND t.PROD_CODE = p.PROD_CODE"
 )
 QUANT = (
-    "SELECT CUST_CODE, PROD_CODE, CAST(sum(QUANTITY) AS BIGINT) AS QUANTITY FROM obs"
+    "SELECT CUST_CODE, PROD_CODE, CAST(sum(QUANTITY) AS BIGINT) AS QUANTITY FROM txn"
     " WHERE CUST_CODE IS NOT NULL GROUP BY CUST_CODE, PROD_CODE"
 )
 LABEL_CTES = {"targets": TARGETS, "active": ACTIVE_CUSTOMERS, "pairs": PAIR_TABLE}
@@ -293,6 +293,9 @@ NORMAL = (
 CUST_MAP = "SELECT CUST_CODE, row_number() OVER (ORDER BY CUST_CODE) - 1 AS index_CUST_CODE FROM (SELECT DISTINCT CUST_CODE FROM quant)"
 ITEM_MAP = "SELECT PROD_CODE, row_number() OVER (ORDER BY PROD_CODE) - 1 AS index_PROD_CODE FROM (SELECT DISTINCT PROD_CODE FROM quant)"
 CORR_COLUMNS = ["SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY", "SPEND", "SHOP_WEEK"]
+EVERY_SEGMENTED, EVERY_USER, EVERY_ITEM = (
+    sql.replace("FROM obs", "FROM txn") for sql in (SEGMENTED, USER_FACTORS, ITEM_FACTORS)
+)
 DOT = "USER_factor_0 * ITEM_factor_0 + USER_factor_1 * ITEM_factor_1"
 PAIR_KEY = "CUST_CODE || '|' || PROD_CODE || '|{seed}'"
 BASKET_SEGMENTS = ["BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "BASKET_TYPE", "BASKET_DOMINANT_MISSION"]
@@ -389,7 +392,7 @@ def oracle_sql() -> dict[str, str]:
             ' "BASKET_TYPE_SPEND_CUST_CODE_Top Up" AS "BASKET_TYPE_SPEND_CUST_CODE_Top_Up",'
             ' "STORE_FORMAT_PROP_VISITS_CUST_CODE_MS", "DAY_PART_PROP_SPEND_CUST_CODE_AFTERNOON"'
             " FROM seg_cust s LEFT JOIN (SELECT DISTINCT CUST_CODE FROM targets) t ON t.CUST_CODE = s.CUST_CODE",
-            targets=TARGETS, segmented=SEGMENTED, seg_cust=segment_profile("CUST_CODE"),
+            targets=TARGETS, segmented=EVERY_SEGMENTED, seg_cust=segment_profile("CUST_CODE"),
         ),
         "filter_window": with_txn(f"SELECT {every} FROM obs"),
         "drop_null_customers": with_txn(f"SELECT {every} FROM txn WHERE CUST_CODE IS NOT NULL"),
@@ -410,7 +413,7 @@ def oracle_sql() -> dict[str, str]:
         "append_cust_segments": with_txn(
             "SELECT t.*, coalesce(s.CUST_PRICE_SENSITIVITY, 'XX') AS CUST_PRICE_SENSITIVITY,"
             " coalesce(s.CUST_LIFESTAGE, 'XX') AS CUST_LIFESTAGE FROM targets t LEFT JOIN"
-            " (SELECT DISTINCT CUST_CODE, CUST_PRICE_SENSITIVITY, CUST_LIFESTAGE FROM obs) s ON s.CUST_CODE = t.CUST_CODE",
+            " (SELECT DISTINCT CUST_CODE, CUST_PRICE_SENSITIVITY, CUST_LIFESTAGE FROM txn) s ON s.CUST_CODE = t.CUST_CODE",
             targets=TARGETS,
         ),
         "als_holdout": with_txn(
@@ -418,17 +421,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "score_pairs_fixed": with_txn(
             f"SELECT CUST_CODE, PROD_CODE, QUANTITY, round({DOT}, 9) AS score FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE)",
-            quant=QUANT, u=USER_FACTORS, i=ITEM_FACTORS,
+            quant=QUANT, u=EVERY_USER, i=EVERY_ITEM,
         ),
         "mse_fixed": with_txn(
             "SELECT CASE WHEN QUANTITY > 50 THEN 'train' ELSE 'test' END AS split, count(*) AS n,"
             f" round(avg(pow(QUANTITY - ({DOT}), 2)), 6) AS mse FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE) GROUP BY 1",
-            quant=QUANT, u=USER_FACTORS, i=ITEM_FACTORS,
+            quant=QUANT, u=EVERY_USER, i=EVERY_ITEM,
         ),
         "factor_tables_fixed": with_txn(
             "SELECT CUST_CODE AS code, USER_factor_0 AS factor_0, USER_factor_1 AS factor_1 FROM u"
             " UNION ALL SELECT PROD_CODE, ITEM_factor_0, ITEM_factor_1 FROM i",
-            u=USER_FACTORS, i=ITEM_FACTORS,
+            u=EVERY_USER, i=EVERY_ITEM,
         ),
         "model_store": with_txn(
             f"SELECT count(*) AS n, 0::BIGINT AS n_different FROM txn WHERE {below('BASKET_ID || ' + chr(39) + '|7' + chr(39), 0.3)}"
@@ -445,9 +448,9 @@ def oracle_sql() -> dict[str, str]:
         "chng_features": with_txn(changes(), **product_summary()),
         "time_last_purchased": with_txn("SELECT * FROM gaps", **gap_ctes()),
         "time_since_ratios": with_txn(gap_ratios(), **gap_ctes()),
-        "cust_quant_summ": with_txn("SELECT * FROM quant", quant=QUANT),
-        "seg_summary_cust": with_txn(segment_profile("CUST_CODE"), segmented=SEGMENTED),
-        "seg_summary_item": with_txn(segment_profile("PROD_CODE"), segmented=SEGMENTED),
+        "cust_quant_summ": with_txn("SELECT * FROM quant", quant=QUANT.replace("FROM txn", "FROM obs")),
+        "seg_summary_cust": with_txn(segment_profile("CUST_CODE"), segmented=EVERY_SEGMENTED),
+        "seg_summary_item": with_txn(segment_profile("PROD_CODE"), segmented=EVERY_SEGMENTED),
         "class_balance": with_txn("SELECT TARGET, count(*) AS n FROM pairs GROUP BY TARGET", **LABEL_CTES),
         "distinct_counts": with_txn(
             "SELECT 'CUST_CODE' AS \"column\", count(DISTINCT CUST_CODE) AS n_distinct FROM txn UNION ALL"
@@ -494,7 +497,7 @@ def oracle_sql() -> dict[str, str]:
         "standardize": with_txn(
             "SELECT BASKET_ID, PROD_CODE, round((QUANTITY - mq) / sq, 6) AS QUANTITY, round((CAST(SPEND AS DOUBLE) - ms) / ss, 6) AS SPEND"
             " FROM txn, (SELECT avg(QUANTITY) AS mq, stddev_pop(QUANTITY) AS sq, avg(CAST(SPEND AS DOUBLE)) AS ms,"
-            " stddev_pop(CAST(SPEND AS DOUBLE)) AS ss FROM obs)"
+            " stddev_pop(CAST(SPEND AS DOUBLE)) AS ss FROM txn)"
         ),
         "one_hot": with_txn(f"SELECT BASKET_ID, PROD_CODE, {coded(CODED)} FROM txn"),
         "vocab_indicator": with_txn(f"SELECT BASKET_ID, PROD_CODE, {coded({**VOCABULARY, 'BASKET_SIZE': ['L', 'M']}, True)} FROM txn"),
