@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
 from shelfwise.functions.staging import Scratch, stage
-from shelfwise.llm.tables import FILE, POSITION, SPACE, filed, fresh, located
+from shelfwise.llm.tables import FILE, POSITION, filed, fresh, located
 
 VARIABLE = "<*>"
 #: Leading tokens that choose the leaf.
@@ -24,17 +24,17 @@ DEPTH = 3
 MIN_DOCUMENTS, MIN_TOKENS, CONSTANT = 8, 3, 0.7
 
 
-def squeezed(line: Column) -> Column:
-    """Tokens of a line parted by one space."""
-    return F.btrim(F.regexp_replace(line, f"{SPACE}+", " "), F.lit(" "))
+def prepared(text: Column) -> Column:
+    """Whole text with one space between the tokens of a line and with tokens that
+    hold a digit as ``<*>``.
 
-
-def masked(line: Column) -> Column:
-    """Tokens with a digit as ``<*>``. The look-behind and the possessive repeats
-    visit each character once, however long a token is."""
+    Both are done once per text, not per line. The look-behind and the possessive
+    repeats visit each character once, however long a token is.
+    """
+    even = F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")
     return F.when(
-        line.rlike("[0-9]"), F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE)
-    ).otherwise(line)
+        text.rlike("[0-9]"), F.regexp_replace(even, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", VARIABLE)
+    ).otherwise(even)
 
 
 def lines_of(docs: DataFrame, text: str) -> DataFrame:
@@ -42,15 +42,17 @@ def lines_of(docs: DataFrame, text: str) -> DataFrame:
     placed, file, position = located(docs)
     lines = placed.select(
         F.col(file).alias(FILE), F.col(position).alias(POSITION),
-        F.posexplode(F.split(quoted(text).cast("string"), "\n")).alias("line_no", "line"),
-    )
-    return (
-        lines.select(FILE, POSITION, "line_no", masked(squeezed(F.col("line"))).alias("masked"))
-        .where("masked <> ''")
-        .withColumn("tokens", F.char_length("masked") - F.char_length(F.replace("masked", F.lit(" "))) + 1)
-        .where(F.col("tokens") >= MIN_TOKENS)
-        .withColumn("lead", F.substring_index("masked", " ", DEPTH))
+        F.posexplode(F.split(prepared(quoted(text).cast("string")), "\n")).alias("line_no", "line"),
     )
+    # Spaces between tokens; those at the ends of a line are at most one each.
+    masked = F.btrim(F.col("line"), F.lit(" "))
+    spaces = F.char_length(masked) - F.char_length(F.replace(masked, F.lit(" ")))
+    return lines.select(
+        FILE, POSITION, "line_no",
+        masked.alias("masked"),
+        (spaces + 1).alias("tokens"),
+        F.substring_index(masked, " ", DEPTH).alias("lead"),
+    ).where(F.col("tokens") >= MIN_TOKENS)
 
 
 def recurring(docs: DataFrame, text: str = "text", min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import key_hash, quoted
 from shelfwise.functions.ordering import running_totals
 from shelfwise.functions.staging import Scratch, stage
-from shelfwise.llm.tables import FILE, POSITION, SPACE, filed, located, numbered
+from shelfwise.llm.tables import FILE, POSITION, WORD, filed, located, numbered
 
 # Golden ratio as a fraction of 2^62, in two 31-bit halves: products of halves
 # never overflow a long.
@@ -35,9 +35,7 @@ class Mix(NamedTuple):
 
 def words(text: Column) -> Column:
     """Number of words; 0 for null."""
-    squeezed = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE}+", " "), F.lit(" "))
-    spaces = F.char_length(squeezed) - F.char_length(F.replace(squeezed, F.lit(" ")))
-    return F.when(squeezed == "", 0).otherwise(spaces + 1).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def mix(

@@ -11,8 +11,8 @@ from shelfwise.functions.staging import stage
 
 FILE, POSITION = "row_file", "row_position"
 
-#: Class of the white space that separates words.
-SPACE = r"[\x20\x09-\x0D]"
+#: Class of the white space that separates words, and a word.
+SPACE, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
