@@ -78,9 +78,10 @@ def _recurring(docs: DataFrame, text: str, min_documents: int) -> tuple[DataFram
         .where(F.col("leaf_documents") >= min_documents),
         "leaves",
     )
-    # Distinct masked lines of those leaves; a line that recurs is one row.
+    # Distinct masked lines of those leaves; a line that recurs is one row. Leaves grow
+    # with the corpus, so the join is a sorted one at every size.
     kinds = stage(
-        every.join(leaves.select("tokens", "lead"), ["tokens", "lead"])
+        every.join(leaves.select("tokens", "lead").hint("shuffle_merge"), ["tokens", "lead"])
         .groupBy("tokens", "lead", "masked").agg(F.count(F.lit(1)).alias("n")),
         "kinds",
     )
