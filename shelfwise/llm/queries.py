@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.staging import Scratch, new_path
 from shelfwise.llm import (
     byte_bpe,
     exact_dedup,
@@ -38,13 +39,17 @@ def exact_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shard_documents(spark: SparkSession, folder: str) -> DataFrame:
-    records = read(spark, folder, "documents").select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint").alias("size"),
+    """Texts are shuffled and written to shards; sizes and sums are those of the texts found there."""
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint").alias("size")
+    with Scratch(spark) as scratch:
+        path = new_path(spark, "shards")
+        scratch.kept.add(path)
+        shuffled = sharding.external_shuffle(read(spark, folder, "documents").select("doc_id", "text", size)).drop("size")
+        sharding.write_shards(shuffled, path)
+    return sharding.read_shards(spark, path, shuffled.schema).select(
+        "doc_id", size,
         F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-    )
-    return sharding.external_shuffle(records).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

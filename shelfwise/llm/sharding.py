@@ -8,12 +8,13 @@ shards in turn.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfwise.functions.ordering import running_totals
 from shelfwise.functions.staging import stage
-from shelfwise.llm.tables import fresh
+from shelfwise.llm.tables import filed, fresh, located
 
 #: Tasks of the second pass; beyond it a task permutes several buckets in turn.
 MAX_TASKS = 100_000
@@ -31,26 +32,27 @@ def external_shuffle(
 
     Shards differ by one record at most, and slots count from 0 without a gap.
     Buckets are made so that the expected sum of ``size`` plus ``record_bytes`` per
-    record is ``bucket_bytes``; null sizes count as 0. The scatter hashes the
-    place of a staged record, not its values: repeated rows and a key that holds
-    any share of them spread evenly. A single record beyond ``bucket_bytes`` is a
+    record is ``bucket_bytes``; null sizes count as 0. The scatter hashes the file
+    name and position of a record (of its staged copy, unless ``records`` are read
+    from files), not its values: repeated rows and a key that holds any share of
+    them spread evenly. A single record beyond ``bucket_bytes`` is a
     bucket of its own size. An empty table gives none. Columns of the input
     called ``shard`` or ``slot`` are kept under a name with an underscore.
     """
     names = {c: fresh(["shard", "slot"], c) for c in records.columns}
-    packed = stage(
-        records.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.coalesce(F.col(f"`{size}`").cast("bigint"), F.lit(0)).alias("bytes"),
-            F.struct(*[F.col(f"`{c}`").alias(names[c]) for c in records.columns]).alias("record"),
-        ),
-        "records",
+    placed, file, position = located(filed(records))
+    packed = placed.select(
+        F.struct(F.col(file).alias("file"), F.col(position).alias("position")).alias("row"),
+        F.coalesce(F.col(f"`{size}`").cast("bigint"), F.lit(0)).alias("bytes"),
+        F.struct(*[F.col(f"`{c}`").alias(names[c]) for c in records.columns]).alias("record"),
     )
     whole = packed.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
     total = (whole.bytes or 0) + record_bytes * whole.n
     buckets = max(1, -(-total // bucket_bytes))
 
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(buckets))
+    bucket = F.pmod(
+        F.xxhash64(F.lit(seed), F.substring_index("row.file", "/", -1), "row.position"), F.lit(buckets)
+    )
     scattered = packed.withColumn("bucket", bucket)
     counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     offsets = stage(
@@ -82,5 +84,11 @@ def write_shards(shuffled: DataFrame, path: str) -> None:
         shuffled.repartitionByRange("shard", "slot")
         .sortWithinPartitions("shard", "slot")
         .write.partitionBy("shard")
+        .option("compression", "zstd")
         .parquet(path)
     )
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that ``write_shards`` has written; ``schema`` is that of its input."""
+    return spark.read.schema(schema).parquet(path)

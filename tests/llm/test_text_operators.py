@@ -21,6 +21,7 @@ from shelfwise.llm import (
     line_templates,
     minhash,
     mixing,
+    queries,
     secrets,
     sharding,
 )
@@ -158,6 +159,28 @@ def test_shards_are_shuffled_and_repeatable(spark):
     assert abs(np.mean(steps) - 4000 / 3) < 150 and abs(np.corrcoef(first, range(4000))[0, 1]) < 0.1
 
 
+def test_shards_hold_the_texts(spark, make, tmp_path, monkeypatch):
+    rows = EDGE + [(20 + i, f"text {i} " * 500, "en", "a") for i in range(40)]
+    make(rows).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    write, paths = sharding.write_shards, []
+
+    def harmed(shuffled, path):
+        paths.append(path)
+        write(shuffled.withColumn("text", F.when(F.col("doc_id") != 20, F.col("text")).otherwise("lost")), path)
+
+    monkeypatch.setattr(sharding, "write_shards", harmed)
+    got = queries.shard_documents(spark, str(tmp_path)).collect()
+    texts = [(i, "lost" if i in (None, 20) else t) for i, t, *_ in rows]
+    crc = lambda t: None if t is None else zlib.crc32(t.encode())
+    expected = Counter((i, len((t or "").encode()) + 8, crc(t)) for i, t in texts)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == expected
+    # Each shard's rows lie in slot order, one folder per shard.
+    assert sorted(os.listdir(paths[0].removeprefix("file:")))[-1].startswith("shard=")
+    for shard in {r.shard for r in got}:
+        part = spark.read.parquet(f"{paths[0]}/shard={shard}").select("slot", "text").collect()
+        assert sorted(r.slot for r in part) == list(range(len(part)))
+
+
 def plain_secrets(text):
     """Base spans by the rules as they are written."""
     text, spans = text or "", []
