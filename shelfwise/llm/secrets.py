@@ -1,9 +1,10 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Candidates are found in every text. Their hashes are counted over the corpus by
-distinct repositories and owners: a value that many owners hold is a copied
-example, one that looks random and belongs to few owners is live-looking.
-Loose candidates become spans only if they are live-looking.
+distinct repositories and owners: a value that many owners hold, or that many
+repositories hold for the number of its owners, is a copied example; any other
+that looks random is live-looking. Loose candidates become spans only if they are
+live-looking.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Every run that can hold an access key, a hex string or a loose candidate.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 
-#: Owners from which on a value counts as a copied example; bits per character of a random value.
-EXAMPLE_OWNERS, LIVE_BITS = 3, 3.0
+#: Owners, or repositories per owner, from which on a value counts as a copied example; bits
+#: per character of a random value.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES, LIVE_BITS = 3, 10, 3.0
 
 
 def bits_per_character(value: str) -> float:
@@ -113,6 +115,17 @@ def span_list(spans: Column) -> Column:
     )
 
 
+def holder_list(spans: Column) -> Column:
+    """``repositories:owners`` of each span, in the order of ``span_list``."""
+    ordered = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"], s["n_repositories"], s["n_owners"]))
+    )
+    return F.array_join(
+        F.transform(ordered, lambda s: F.concat_ws(":", s["n_repositories"].cast("string"), s["n_owners"].cast("string"))),
+        ",",
+    )
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """``digest, n_repositories, n_owners``: distinct holders of each candidate.
 
@@ -133,14 +146,18 @@ def scan_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples`` of each document.
-
-    ``spans`` lists the base matches and the loose candidates that are
-    live-looking and held by fewer than ``example_owners`` owners. ``n_live`` and
-    ``n_examples`` count its spans by that rule. Null counts as an empty text,
-    which has no spans. Null repositories and owners are holders that are not
-    counted. A row of the input gives a row; repeated rows give equal rows.
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples, holders`` of each document.
+
+    A value is an example if ``example_owners`` owners hold it, or at least
+    ``example_repositories`` repositories for each owner (for one, if no owner is
+    named). ``spans`` lists the base matches and the loose candidates that are
+    live-looking and no examples. ``n_live`` and ``n_examples`` count its spans by
+    that rule; ``holders`` gives ``repositories:owners`` of each of them. Null
+    counts as an empty text, which has no spans. Null repositories and owners are
+    holders that are not counted. A row of the input gives a row; repeated rows
+    give equal rows.
     """
     rows = numbered(
         docs.select(
@@ -161,10 +178,15 @@ def scan_secrets(
     each = rows.select("row", "repository", "owner", F.explode("found").alias("s")).select(
         "row", "repository", "owner", "s.kind", "s.start", "s.end", "s.digest", "s.live"
     )
-    judged = each.join(ownership(each), "digest").withColumn("example", F.col("n_owners") >= example_owners)
+    widely = F.col("n_repositories") >= example_repositories * F.greatest(F.col("n_owners"), F.lit(1))
+    judged = each.join(ownership(each), "digest").withColumn(
+        "example", (F.col("n_owners") >= example_owners) | widely
+    )
     kept = judged.where((F.col("kind") != OWNED) | (F.col("live") & ~F.col("example")))
+    listed = F.collect_list(F.struct("kind", "start", "end", "n_repositories", "n_owners"))
     spans = kept.groupBy("row").agg(
-        span_list(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"),
+        span_list(listed).alias("spans"),
+        holder_list(listed).alias("holders"),
         F.count_if(F.col("live") & ~F.col("example")).alias("n_live"),
         F.count_if("example").alias("n_examples"),
     )
@@ -173,4 +195,5 @@ def scan_secrets(
         F.coalesce("spans", F.lit("")).alias("spans"),
         F.coalesce("n_live", F.lit(0)).cast("bigint").alias("n_live"),
         F.coalesce("n_examples", F.lit(0)).cast("bigint").alias("n_examples"),
+        F.coalesce("holders", F.lit("")).alias("holders"),
     )

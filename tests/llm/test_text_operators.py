@@ -228,6 +228,18 @@ def test_secret_ownership(make):
     assert got[0] == (0, 1) and got[9] == (1, 0)
 
 
+def test_secret_copied_inside_one_source(make):
+    wide, own, two = "Zk9vQ2xP7mTr4sWb8nYd", "Hq7cV1zL5kNs3tXa6mUe", "Rb4jF8wE2yGd9pQo0iKh"
+    rows = [(i, f"use {wide} here", "en", "hot") for i in range(12)]
+    rows += [(20 + i, f"{own} and token=Abc123xyz9", "en", "hot") for i in range(3)]
+    rows += [(40 + i, f"use {two} here", "en", f"s{i % 2}") for i in range(24)]
+    got = {r.doc_id: (r.spans, r.n_live, r.n_examples, r.holders) for r in secrets.scan_secrets(make(rows)).collect()}
+    assert all(got[i] == ("", 0, 0, "") for i in [*range(12), *range(40, 64)])
+    assert got[20] == ("owned:0:20,assign:25:41", 2, 0, "3:1,3:1")
+    many = [(i, "token=Abc123xyz9", "en", "hot") for i in range(15)]
+    assert {(r.n_live, r.n_examples, r.holders) for r in secrets.scan_secrets(make(many)).collect()} == {(0, 1, "15:1")}
+
+
 SAMPLES = {
     "en": "the and of that with from which this have there were",
     "de": "der und die das nicht mit auch auf für eine werden",
