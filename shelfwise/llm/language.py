@@ -81,11 +81,13 @@ class Model(NamedTuple):
 def training_rows(
     docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int, max_rows: int
 ) -> DataFrame:
-    """``lang, bins`` (packed presence) of the bounded sample that the model is fitted on.
+    """``order, lang, bins`` (packed presence) of the bounded sample that the model is fitted on.
 
     Rows come in the order of a hash of their id: about ``per_language`` of each
-    language, ``max_rows`` in all. Ids, languages and counts are read first, then
-    only the texts of the sample.
+    language, ``max_rows`` in all. Null and empty texts, which have no n-grams, are
+    left out, and equal texts of a language are one row, before the sample is
+    drawn. Hashes of the texts, languages and counts are read first, then only the
+    texts of the sample.
     """
     placed, file, position = located(filed(docs))
     labelled = placed.select(
@@ -95,7 +97,13 @@ def training_rows(
         (F.xxhash64(quoted(doc_id).cast("string"), F.col(position)) / float(1 << 64) + 0.5).alias("draw"),
         quoted(doc_id).isNotNull().alias("has_id"),
         is_held_out(quoted(doc_id)).alias("held_out"),
-    ).where("lang IS NOT NULL AND has_id AND NOT held_out")
+        (F.length(quoted(text).cast("string")) > 0).alias("has_text"),
+        F.xxhash64(quoted(text).cast("string")).alias("text_hash"),
+    ).where("lang IS NOT NULL AND has_id AND NOT held_out AND has_text")
+    labelled = (
+        labelled.groupBy("lang", "text_hash").agg(F.min(F.struct("draw", FILE, POSITION)).alias("first"))
+        .select("lang", "first.*")
+    )
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     chosen = (
         labelled.join(counts, "lang")
@@ -103,12 +111,12 @@ def training_rows(
         .where(F.col("order") <= per_language)
         .orderBy("order", FILE, POSITION)
         .limit(max_rows)
-        .select(F.col(FILE).alias("f"), F.col(POSITION).alias("p"))
+        .select(F.col(FILE).alias("f"), F.col(POSITION).alias("p"), F.col("order").alias("draw_order"))
     )
     # At most max_rows places: a bounded broadcast.
     sample = placed.join(
-        F.broadcast(chosen), (F.col(file) == F.col("f")) & (F.col(position) == F.col("p")), "left_semi"
-    ).select(quoted(lang).cast("string").alias("lang"), quoted(text).cast("string").alias("text"))
+        F.broadcast(chosen), (F.col(file) == F.col("f")) & (F.col(position) == F.col("p"))
+    ).select(F.col("draw_order").alias("order"), quoted(lang).cast("string").alias("lang"), quoted(text).cast("string").alias("text"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -117,9 +125,9 @@ def training_rows(
                 seen = np.zeros(BINS, bool)
                 seen[present_bins(value)] = True
                 rows.append(np.packbits(seen).tobytes())
-            yield pd.DataFrame({"lang": pdf["lang"], "bins": rows})
+            yield pd.DataFrame({"order": pdf["order"], "lang": pdf["lang"], "bins": rows})
 
-    return sample.mapInPandas(pack, "lang string, bins binary")
+    return sample.mapInPandas(pack, "order double, lang string, bins binary")
 
 
 def fit(
@@ -133,10 +141,13 @@ def fit(
     ridge: float = 1e-2,
 ) -> Model:
     """Fit on a sample of at most ``max_rows`` labelled rows (bounded: packed sets
-    of 4 KB each come to the driver). Landmarks are the first rows of each language.
+    of 4 KB each come to the driver). Equal sets of a language are one row. Landmarks
+    are the first rows of each language in the order of the draw, without a set
+    that another language has given.
     """
     rows = training_rows(docs, doc_id, text, lang, per_language, max_rows).collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["bins"])))
+    rows.sort(key=lambda r: (r["order"], r["lang"], bytes(r["bins"])))
+    rows = list({(r["lang"], bytes(r["bins"])): r for r in reversed(rows)}.values())[::-1]
     languages = sorted({r["lang"] for r in rows})
     if not rows:
         return Model([], np.zeros((BINS, 0), np.float32))
@@ -144,7 +155,12 @@ def fit(
     labels = np.array([r["lang"] for r in rows])
     target = (labels[:, None] == np.array(languages)[None, :]).astype(float)
     share = max(1, landmarks // len(languages))
-    chosen = np.concatenate([np.flatnonzero(labels == one)[:share] for one in languages])[: max(landmarks, len(languages))]
+    chosen, sets = [], set()
+    for one in languages:
+        new = [i for i in np.flatnonzero(labels == one) if bytes(rows[i]["bins"]) not in sets][:share]
+        sets |= {bytes(rows[i]["bins"]) for i in new}
+        chosen += new
+    chosen = chosen[: max(landmarks, len(languages))]
     marks = packed[chosen]
     values, vectors = np.linalg.eigh(_kernel(marks, marks))
     good = values > 1e-6 * values.max()

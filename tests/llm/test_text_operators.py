@@ -25,6 +25,7 @@ from shelfwise.llm import (
     secrets,
     sharding,
 )
+from shelfwise.llm.tables import filed
 
 # Extra columns carry names that the operators use inside.
 SCHEMA = (
@@ -272,6 +273,33 @@ def test_language(make):
     assert all(again[i].lang_pred == got[i].lang_pred and again[i].score == pytest.approx(got[i].score) for i in got)
 
 
+def test_language_with_empty_and_equal_rows(make):
+    draw = random.Random(6)
+    texts = [(" ".join(draw.choices(SAMPLES[lang].split(), k=12)), lang) for lang in SAMPLES for _ in range(90)]
+    # A third of the rows are null or empty, a sixth copies of a short word.
+    texts += [(None if i % 2 else "", lang) for lang in SAMPLES for i in range(60)]
+    texts += [("x", lang) for lang in SAMPLES for _ in range(30)]
+    rows = [(i, t, lang, "a") for i, (t, lang) in enumerate(texts)]
+    docs = make(rows)
+    sample = language.training_rows(filed(docs), "doc_id", "text", "lang", 600, 4000).collect()
+    assert all(any(r.bins) for r in sample) and len({(r.lang, r.bins) for r in sample}) == len(sample)
+    got = {r.doc_id: r for r in language.identify(docs, landmarks=24).collect()}
+    for i, text, lang, _ in rows[:270]:
+        assert got[i].lang_pred == lang and got[i].score > 0.3, text
+
+
+def test_landmarks_follow_the_draw(make, monkeypatch):
+    # Short texts of letters with low bins would come first in the order of the bytes.
+    draw = random.Random(7)
+    rows = [(i, "".join(draw.choices("abcdefghij", k=1 + i % 40)), "en" if i % 2 else "de", "a") for i in range(200)]
+    kernels, kernel = [], language._kernel
+    monkeypatch.setattr(language, "_kernel", lambda a, b: kernels.append((a, b)) or kernel(a, b))
+    language.fit(make(rows), landmarks=20)
+    marks = np.unpackbits(kernels[0][0], axis=1).sum(1)
+    everything = np.unpackbits(kernels[1][0], axis=1).sum(1)
+    assert len(marks) == 20 and marks.mean() > 0.6 * everything.mean()
+
+
 def test_language_without_labels(make):
     got = language.identify(make([(1, "some text", None, "a")])).collect()
     assert (got[0].lang_pred, got[0].score) == ("und", 0)
