@@ -13,10 +13,11 @@ from shelfwise.llm.tables import filed, fresh, keep_rows, read
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: null, empty or without a letter."""
+    """Drop documents in no language: null, empty or without a letter, whether or not
+    any document is labelled."""
     name = fresh(docs.columns, "language")
     judged = language.predict(docs, language.fit(docs), out=name)
-    return judged.where(F.col(f"{name}.lang") != language.UNKNOWN).drop(name)
+    return judged.where(f"{name}.letters").drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

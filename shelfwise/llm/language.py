@@ -177,19 +177,21 @@ def fit(
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
-    """All columns of ``docs`` and ``out``, a struct of ``lang`` and ``score``.
+    """All columns of ``docs`` and ``out``, a struct of ``lang``, ``score`` and ``letters``.
 
     The score is the regression value of the language, clipped to 0..1. A text
     that is null, empty or without a letter is ``und`` with score 0, and so is
-    every text if there was nothing to learn from. Rows are independent.
+    every text if there was nothing to learn from; ``letters`` tells whether the
+    text has a letter, whatever was learnt. Rows are independent.
     """
     spread = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights))
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, letters boolean")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = Model(*spread.value)
         for texts in batches:
-            values = [t if t and known.languages and any(map(str.isalpha, t)) else None for t in texts]
+            letters = [bool(t) and any(map(str.isalpha, t)) for t in texts]
+            values = [t if known.languages and good else None for t, good in zip(texts, letters, strict=True)]
             lang, score = [UNKNOWN] * len(values), np.zeros(len(values))
             real = [i for i, t in enumerate(values) if t is not None]
             for start in range(0, len(real), _ROWS):
@@ -198,7 +200,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "langu
                 best = result.argmax(1)
                 for i, b, row in zip(part, best, result, strict=True):
                     lang[i], score[i] = known.languages[b], float(np.clip(row[b], 0, 1))
-            yield pd.DataFrame({"lang": lang, "score": score})
+            yield pd.DataFrame({"lang": lang, "score": score, "letters": letters})
 
     return docs.withColumn(out, classify(quoted(text).cast("string")))
 

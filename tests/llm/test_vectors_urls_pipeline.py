@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -160,3 +161,28 @@ def test_stages_keep_columns_and_take_awkward_rows(spark):
     empty = stage(docs.limit(0))
     for _, function in corpus_pipeline.STAGES:
         assert function(spark, empty, FOLDER).collect() == []
+
+
+def test_unlabelled_corpus_keeps_its_documents(spark):
+    from shelfwise.functions.staging import stage
+
+    schema = "doc_id long, text string, lang string, source string"
+    texts = ["the text of one", "ein Text", "12 34", "", None, "語"]
+    unlabelled = [(i, t, None, "x") for i, t in enumerate(texts)]
+    no_ids = [(None, t, "en", "x") for t in texts]
+    held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 4 == 2)
+    held_out = [(held, t, "en", "x") for t in texts]
+    for rows in (unlabelled, no_ids, held_out):
+        docs = stage(spark.createDataFrame(rows, schema))
+        kept = corpus_pipeline.keep_languages(spark, docs, FOLDER)
+        assert kept.columns == docs.columns
+        assert {r.text for r in kept.collect()} == {"the text of one", "ein Text", "語"}
+
+
+def test_unlabelled_corpus_through_the_pipeline(spark, tmp_path):
+    texts = ["the text of one document", "ein anderer Text", "12 34", "", None]
+    rows = [(i, t, None, "x") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 1}
