@@ -175,7 +175,7 @@ def test_shards_hold_the_texts(spark, make, tmp_path, monkeypatch):
     crc = lambda t: None if t is None else zlib.crc32(t.encode())
     expected = Counter((i, len((t or "").encode()) + 8, crc(t)) for i, t in texts)
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == expected
-    # Each shard's rows lie in slot order, one folder per shard.
+    # One folder per shard, and its slots have no gap.
     assert sorted(os.listdir(paths[0].removeprefix("file:")))[-1].startswith("shard=")
     for shard in {r.shard for r in got}:
         part = spark.read.parquet(f"{paths[0]}/shard={shard}").select("slot", "text").collect()
