@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from shelfwise.functions.staging import Scratch, new_path
 from shelfwise.llm import (
     byte_bpe,
+    divergence,
     exact_dedup,
     language,
     line_templates,
     minhash,
     mixing,
     near_vectors,
+    periodic_runs,
     secrets,
     sharding,
+    syncmers,
     url_filter,
 )
 from shelfwise.llm.sql import oracle_sql as oracle_sql
@@ -92,6 +95,18 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(read(spark, folder, "documents"))
+
+
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.edited_fingerprints(read(spark, folder, "documents"))
+
+
+def periodic(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_digests(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mix_sources,
@@ -104,4 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": minhash_query,
         "op9_url_filter": url_rules,
         "op10_line_templates": line_dedup,
+        "op11_source_audit": source_audit,
+        "op12_fingerprints": fingerprints,
+        "op13_periodic_runs": periodic,
     }

@@ -153,6 +153,39 @@ FROM documents d LEFT JOIN g USING (doc_id)
 """
 
 
+AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS (SELECT row_number() OVER () AS no, * FROM d),
+t AS (SELECT no, lang, source, unnest(terms) AS term FROM w),
+k AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT no) >= 30),
+g AS (SELECT DISTINCT lang, source FROM w),
+v AS (SELECT lang, count(*)::HUGEINT AS terms, sum(lang_n)::HUGEINT AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT // (coalesce(n.total, 0) + 5 * v.terms) AS p,
+    1 + 1000000000 * (k.lang_n + 5)::HUGEINT // (v.total + 5 * v.terms) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+x AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+o AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": MIX,
@@ -161,4 +194,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_minhash": MINHASH,
         "op9_url_filter": _url(),
         "op10_line_templates": LINES,
+        "op11_source_audit": AUDIT,
     }
