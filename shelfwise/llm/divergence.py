@@ -1,9 +1,10 @@
 """Divergence of sources: how differently the sources of a language use its terms.
 
-Terms travel as 64-bit digests. The strings stay in the stage that the counting
-tasks have written, and come back in two places only: the least and the greatest
-string of each digest that may be kept show whether several terms share it (those
-are then counted again by their text), and the rows that are returned get theirs.
+Terms are counted by 64-bit digests; the tables of counts hold no text. Each counting
+task also writes the terms that it has met, once each. Their strings come back in two
+places only: the least and the greatest string of each digest that may be kept show
+whether several terms share it (those are then counted again by their text), and the
+rows that are returned get theirs.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ by_value(__name__)
 MIN_DOCUMENTS, PRIOR, SCALE = 30, 5, 1_000_000_000
 #: Ranks of the term part.
 TOP_TERMS = 50
-#: Terms that a counting task holds before it hands them on; cells of a block of shares.
-HELD_TERMS, BLOCK_CELLS = 200_000, 1 << 16
+#: Counts that a task holds before it hands them on; cells of a block of shares.
+HELD_TERMS, BLOCK_CELLS = 400_000, 1 << 16
 
 #: Bytes of UTF-8 that belong to a term, A-Z in lower case; every other byte is a space.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -43,36 +44,75 @@ def digest(term: bytes) -> int:
     return xxhash.xxh3_64_intdigest(term) - (1 << 63)
 
 
+def frame(n: list[int], digest: list[int], **columns) -> pd.DataFrame:
+    """Rows of counts; a single text or null stands for a column of it."""
+    rows = len(n)
+    made = {"digest": np.array(digest, np.int64), "n": np.array(n, np.int64)}
+    for name, values in columns.items():
+        made[name] = values if isinstance(values, list) else [values] * rows
+    return pd.DataFrame({c: pd.Series(v, dtype=None if isinstance(v, np.ndarray) else object) for c, v in made.items()})
+
+
 def term_counts(docs: DataFrame, text: str, lang: str, source: str, digest: Callable[[bytes], int]) -> DataFrame:
-    """Partial counts ``lang, source, digest, term, n, n_documents``: several rows per term and group."""
+    """Partial counts, several rows per term: of kind ``uses`` with ``n``, the occurrences
+    in a source of a language, and of kind ``terms`` with ``n``, the documents of a
+    language, and the term itself."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def rows() -> pd.DataFrame:
-            made = [
-                (*group, digest(term), term.decode("utf-8", "surrogatepass"), n, documents[term])
-                for group, (words, documents) in held.items()
-                for term, n in words.items()
-            ]
-            held.clear()
-            return pd.DataFrame(made, columns=["lang", "source", "digest", "term", "n", "n_documents"])
+        uses: dict[tuple[str, str], Counter] = {}
+        documents: dict[str, Counter] = {}
+
+        def rows() -> Iterator[pd.DataFrame]:
+            digests = {term: digest(term) for words in documents.values() for term in words}
+            for (lang, source), words in uses.items():
+                yield frame(
+                    kind="uses", lang=lang, source=source, digest=[digests[t] for t in words], term=None, n=list(words.values())
+                )
+            for lang, words in documents.items():
+                yield frame(
+                    kind="terms", lang=lang, source=None, digest=[digests[t] for t in words],
+                    term=[t.decode("utf-8", "surrogatepass") for t in words], n=list(words.values()),
+                )
+            uses.clear()
+            documents.clear()
 
         for pdf in batches:
             for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"], strict=True):
-                words, documents = held.setdefault((lang, source), (Counter(), Counter()))
                 found = terms_of(text)
-                words.update(found)
-                documents.update(set(found))
-            if sum(len(words) for words, _ in held.values()) > HELD_TERMS:
-                yield rows()
-        yield rows()
+                uses.setdefault((lang, source), Counter()).update(found)
+                documents.setdefault(lang, Counter()).update(set(found))
+            if sum(map(len, uses.values())) + sum(map(len, documents.values())) > HELD_TERMS:
+                yield from rows()
+        yield from rows()
 
     return _filled(docs, lang, source, text).mapInPandas(
-        count, "lang string, source string, digest bigint, term string, n bigint, n_documents bigint"
+        count, "kind string, lang string, source string, digest bigint, term string, n bigint"
     )
 
 
+_SPELLED = "lang string, source string, digest bigint, split string, n bigint, n_documents bigint"
+
+
+def spelled_counts(digest: Callable[[bytes], int]):
+    """Function over batches of documents: counts of each term by its text."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for (lang, source), part in pdf.groupby(["lang", "source"]):
+                words, documents = Counter(), Counter()
+                for text in part["text"]:
+                    found = terms_of(text)
+                    words.update(found)
+                    documents.update(set(found))
+                yield frame(
+                    lang=lang, source=source, digest=[digest(t) for t in words],
+                    split=[t.decode("utf-8", "surrogatepass") for t in words],
+                    n=list(words.values()), n_documents=[documents[t] for t in words],
+                )
+
+    return count
+
+
 def _filled(docs: DataFrame, *columns: str) -> DataFrame:
     names = ("lang", "source", "text")
     return docs.select(
@@ -117,37 +157,43 @@ def _audit(docs, text, lang, source, min_documents, top_terms, digest) -> DataFr
         "counts": term_counts(docs, text, lang, source, digest),
         "groups": _filled(docs, lang, source).distinct(),
     })
-    counts, groups = first["counts"], first["groups"]
-    by_digest = stage(
-        counts.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("n_documents").alias("n_documents")),
-        "by-digest",
-    )
+    groups = first["groups"]
+    uses, terms = (first["counts"].where(F.col("kind") == kind) for kind in ("uses", "terms"))
     # A digest in too few documents holds no kept term, however many terms share it.
     likely = stage(
-        by_digest.groupBy("lang", "digest").agg(F.sum("n_documents").alias("n_documents"))
+        terms.groupBy("lang", "digest").agg(F.sum("n").alias("n_documents"))
         .where(F.col("n_documents") >= min_documents).select("lang", "digest"),
         "likely",
     )
     spelled = stage(
-        counts.select("digest", "term").join(likely.select("digest").distinct(), "digest")
-        .groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")),
+        terms.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
+        .join(likely.select("digest").distinct(), "digest"),
         "spelled",
     )
-    shared = stage(spelled.where("least <> most").select("digest"), "shared")
+    shared = spelled.where("least <> most").select("digest")
     # ``split`` is the text of a term whose digest is shared, else empty.
+    key = ["lang", "digest", "split"]
     entries = (
-        by_digest.join(likely, ["lang", "digest"], "left_semi").join(shared, "digest", "left_anti")
-        .select("lang", "source", "digest", F.lit("").alias("split"), "n", "n_documents")
-    ).unionByName(
-        counts.join(shared, "digest", "left_semi")
-        .groupBy("lang", "source", "digest", F.col("term").alias("split"))
-        .agg(F.sum("n").alias("n"), F.sum("n_documents").alias("n_documents"))
+        uses.select("lang", "source", "digest", "n").join(likely, ["lang", "digest"], "left_semi")
+        .groupBy("lang", "digest", "source").agg(F.sum("n").alias("n"))
+        .select("source", "lang", "digest", F.lit("").alias("split"), "n")
     )
+    documents = terms.groupBy("lang", "digest", F.lit("").alias("split")).agg(F.sum("n").alias("n_documents"))
+    if not shared.isEmpty():
+        entries = entries.join(shared, "digest", "left_anti")
+        documents = documents.join(shared, "digest", "left_anti")
+        # Once more over the texts, for the terms of these digests only.
+        again = stage(
+            _filled(docs, lang, source, text).mapInPandas(spelled_counts(digest), _SPELLED)
+            .join(shared, "digest", "left_semi"),
+            "again",
+        )
+        entries = entries.unionByName(again.groupBy("source", *key).agg(F.sum("n").alias("n")))
+        documents = documents.unionByName(again.groupBy(*key).agg(F.sum("n_documents").alias("n_documents")))
     entries = stage(entries, "entries")
-    key = ["lang", "digest", "split"]
     kept = stage(
-        entries.groupBy(*key).agg(F.sum("n").alias("lang_n"), F.sum("n_documents").alias("n_documents"))
-        .where(F.col("n_documents") >= min_documents).drop("n_documents"),
+        documents.where(F.col("n_documents") >= min_documents).select(*key)
+        .join(entries.groupBy(*key).agg(F.sum("n").alias("lang_n")), key),
         "kept",
     )
     used = stage(entries.join(kept, key).select("source", *key, "n", "lang_n"), "used")
