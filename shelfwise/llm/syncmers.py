@@ -34,12 +34,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def tokens(text: Column) -> Column:
     """Tokens of a text in lower case."""
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), f"{SPACE}+"), "")
-    short = F.char_length(text) <= SHORT
-    return F.flatten(F.transform(words, lambda w: (
-        F.when(short, F.split(w, ""))
-        .when(F.octet_length(w) <= WHOLE, F.array(w))
-        .otherwise(F.regexp_extract_all(w, F.lit(_PIECES), F.lit(1)))
-    )))
+    # The test of the whole text stands outside the function of a word.
+    return F.when(
+        F.char_length(text) <= SHORT, F.flatten(F.transform(words, lambda w: F.split(w, "")))
+    ).otherwise(F.flatten(F.transform(words, lambda w: F.when(F.octet_length(w) <= WHOLE, F.array(w)).otherwise(
+        F.regexp_extract_all(w, F.lit(_PIECES), F.lit(1))
+    ))))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
