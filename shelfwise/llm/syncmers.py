@@ -98,15 +98,28 @@ def written(found: Column) -> Column:
     )
 
 
-def marks(found: Column) -> Column:
-    """Struct of the distinct hashes of anchors (``free``) and of the hashes of each anchor
-    with its position (``placed``)."""
+def packed(found: Column) -> Column:
+    """Anchors in few bytes: ``hashes``, the 32 bits that ``written`` shows, and ``positions``."""
+    low = lambda a: (a["hash"].bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int")
+    return F.struct(
+        F.transform(found, low).alias("hashes"), F.transform(found, lambda a: a["position"]).alias("positions")
+    )
+
+
+def marks_of(pack: Column) -> Column:
+    """Struct of the distinct hashes of ``packed`` anchors (``free``) and of the hashes of
+    each anchor with its position (``placed``)."""
     return F.struct(
-        F.array_distinct(F.transform(found, lambda a: a["hash"])).alias("free"),
-        F.transform(found, lambda a: F.xxhash64(a["hash"], a["position"])).alias("placed"),
+        F.array_distinct(pack["hashes"]).alias("free"),
+        F.zip_with(pack["hashes"], pack["positions"], lambda h, p: F.xxhash64(h, p)).alias("placed"),
     )
 
 
+def marks(found: Column) -> Column:
+    """``marks_of`` anchors."""
+    return let(packed(found), marks_of)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Shared part of the anchors of two texts, given as ``marks``: 0 to 1.
 
@@ -190,20 +203,20 @@ def _edited(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     heads = rows.select(
         F.col("prev_file").alias("to_file"), F.col("prev_position").alias("to_position"),
         F.substring("text", F.lit(1), F.col("wanted")).alias("head"),
-        let(anchors(F.col("text")), marks).alias("next_marks"),
+        let(anchors(F.col("text")), packed).alias("next_anchors"),
     )
     joined = rows.join(
         heads.hint("merge"), (F.col(FILE) == F.col("to_file")) & (F.col(POSITION) == F.col("to_position"))
     )
     kept = F.substring("text", F.lit(1), F.col("n_chars") - F.floor(F.col("n_chars") / 4).cast("int"))
     found = joined.select(
-        "doc_id", "n_chars", "next_marks", anchors(F.col("text")).alias("own"), F.concat(kept, "head").alias("edited")
-    ).select("doc_id", "n_chars", "next_marks", "own", "edited", anchors(F.col("edited")).alias("other"))
+        "doc_id", "n_chars", "next_anchors", anchors(F.col("text")).alias("own"), F.concat(kept, "head").alias("edited")
+    ).select("doc_id", "n_chars", "next_anchors", "own", "edited", anchors(F.col("edited")).alias("other"))
     return found.select(
         "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         written(F.col("own")).alias("fingerprint"),
         written(F.col("other")).alias("edited_fingerprint"),
         let(marks(F.col("own")), lambda a: let(marks(F.col("other")), lambda b: likeness(a, b))).alias("near_edited"),
-        let(marks(F.col("own")), lambda a: likeness(a, F.col("next_marks"))).alias("near_next"),
+        let(marks(F.col("own")), lambda a: let(marks_of(F.col("next_anchors")), lambda b: likeness(a, b))).alias("near_next"),
     )
