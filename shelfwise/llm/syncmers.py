@@ -180,20 +180,18 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
 
     Texts are shuffled once. The join that tells each row how much the row before it
     wants also lays the texts out by place, so only the wanted heads and the anchors of
-    the next document travel again.
+    the next document travel again. The result is larger than the texts' shuffle and is
+    not stored here; the table of places it reads stays until ``drop_stages``.
     """
+    docs = filed(docs)
     with Scratch(docs.sparkSession) as scratch:
-        return scratch.result(_edited(filed(docs), doc_id, text), "fingerprints")
-
-
-def _edited(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    ranked, n = in_order(docs, doc_id, text)
-    before = ranked.select(
-        F.pmod(F.col("rank") + 1, F.lit(max(n, 1))).alias("rank"),
-        F.col(FILE).alias("prev_file"), F.col(POSITION).alias("prev_position"),
-        F.floor(F.col("n_chars") / 4).cast("int").alias("wanted"),
-    )
-    places = stage(ranked.join(before.hint("merge"), "rank").drop("rank"), "places")
+        ranked, n = in_order(docs, doc_id, text)
+        before = ranked.select(
+            F.pmod(F.col("rank") + 1, F.lit(max(n, 1))).alias("rank"),
+            F.col(FILE).alias("prev_file"), F.col(POSITION).alias("prev_position"),
+            F.floor(F.col("n_chars") / 4).cast("int").alias("wanted"),
+        )
+        places = scratch.result(ranked.join(before.hint("merge"), "rank").drop("rank"), "places")
     placed, file, position = located(docs)
     # Sorted joins at every size: which table is small must not change the plan.
     rows = placed.select(
