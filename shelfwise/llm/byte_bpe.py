@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import quoted
 from shelfwise.llm.shipping import by_value
+from shelfwise.llm.tables import fresh
 
 by_value(__name__)
 
@@ -118,15 +119,7 @@ class Memo(dict):
         return value
 
 
-class Ranks(Memo):
-    """Rank of each byte string asked for, -1 outside the vocabulary."""
-
-    def __init__(self, table: PerfectHash):
-        super().__init__()
-        self.make = table.rank
-
-
-def merge(piece: bytes, ranks: Ranks) -> list[int]:
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Token ids of a pre-token that is not a token itself.
 
     Parts are named by their first byte; ``stop`` is where a part ends (and the
@@ -135,11 +128,11 @@ def merge(piece: bytes, ranks: Ranks) -> list[int]:
     if one of its parts has changed.
     """
     n = len(piece)
-    base = n + 1
+    base, rank_of = n + 1, ranks.get
     stop, before = list(range(1, n + 1)), list(range(-1, n))
     heap = []
     for start in range(n - 1):
-        rank = ranks[piece[start : start + 2]]
+        rank = rank_of(piece[start : start + 2], -1)
         if rank >= 0:
             heap.append((rank * base + start) * base + start + 2)
     heapq.heapify(heap)
@@ -155,12 +148,12 @@ def merge(piece: bytes, ranks: Ranks) -> list[int]:
         if end < n:
             before[end] = start
             far = stop[end]
-            rank = ranks[piece[start:far]]
+            rank = rank_of(piece[start:far], -1)
             if rank >= 0:
                 push(heap, (rank * base + start) * base + far)
         left = before[start]
         if left >= 0:
-            rank = ranks[piece[left:end]]
+            rank = rank_of(piece[left:end], -1)
             if rank >= 0:
                 push(heap, (rank * base + left) * base + end)
     ids, start = [], 0
@@ -170,12 +163,14 @@ def merge(piece: bytes, ranks: Ranks) -> list[int]:
     return ids
 
 
-class Words(Memo):
-    """Ids of pre-tokens, as little-endian 32-bit integers."""
+class Words:
+    """Ids of pre-tokens, as little-endian 32-bit integers.
+
+    The perfect hash answers for whole pre-tokens; the heap asks for the ranks of many
+    short parts, most of which are no tokens, in a plain table."""
 
     def __init__(self, table: PerfectHash):
-        super().__init__()
-        self.rank, self.ranks = table.rank, Ranks(table)
+        self.rank, self.ranks = table.rank, dict(zip(table.keys, table.ranks, strict=True))
         self.packed = {r: r.to_bytes(4, "little") for r in table.ranks}
 
     def make(self, word: str) -> bytes:
@@ -203,7 +198,7 @@ class Encoder(Memo):
         return self.whole(" " + part)
 
     def whole(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.split(text)))
+        return b"".join(map(self.words.make, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         if self.run(text):
@@ -227,7 +222,7 @@ def tokenize(
     is encoded separately; there are no special tokens. ``pattern`` must hold a
     space only as the first character of a match or among other white space. The tables that go to the
     executors are as large as the vocabulary. ``ids`` and ``decoded`` replace
-    columns of that name. Rows are independent of one another.
+    columns of that name, in any case. Rows are independent of one another.
     """
     table = docs.sparkSession.sparkContext.broadcast(tuple(perfect_hash(ranks)))
 
@@ -245,10 +240,11 @@ def tokenize(
             yield pd.DataFrame({ids: packed, decoded: plain})
 
     coded = encode(quoted(text).cast("string"))
-    return docs.withColumn("bpe__", coded).select(
-        *[quoted(c) for c in docs.columns if c not in (ids, decoded)],
-        F.col(f"bpe__.{ids}").alias(ids),
-        F.col(f"bpe__.{decoded}").alias(decoded),
+    name = fresh(docs.columns, "coded")
+    return docs.withColumn(name, coded).select(
+        *[quoted(c) for c in docs.columns if c.lower() not in (ids.lower(), decoded.lower())],
+        F.col(f"{name}.{ids}").alias(ids),
+        F.col(f"{name}.{decoded}").alias(decoded),
     )
 
 

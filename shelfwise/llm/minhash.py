@@ -44,7 +44,7 @@ GROUP, BLOCK = 256, 512
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _SHIFT = np.uint64(29)
-_MEMO = 500_000
+_MEMO = 100_000
 
 
 class WordHashes(dict):

@@ -447,3 +447,12 @@ def test_empty_tables(make, ranks):
     assert rows_of(language.identify(none)) == []
     assert rows_of(minhash.near_duplicates(none)) == []
     assert rows_of(line_templates.drop_recurring_lines(none)) == []
+
+
+def test_bpe_keeps_clashing_columns(spark, ranks):
+    rows = [("one text", "a", "b", "c", "d", "e")]
+    docs = spark.createDataFrame(rows, "text string, coded string, bpe__ string, _coded string, IDS string, Decoded string")
+    got = byte_bpe.tokenize(docs, ranks, public_tokenizers.PATTERN)
+    assert got.columns == ["text", "coded", "bpe__", "_coded", "ids", "decoded"]
+    row = got.first()
+    assert row[:4] == ("one text", "a", "b", "c") and bytes(row.decoded) == b"one text"
