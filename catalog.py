@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
 from functools import partial
 from typing import NamedTuple
 
@@ -46,18 +45,7 @@ from shelfwise.sources.basket_view import basket_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The driver tables are sparse, so the windows are longer than a year.
-WINDOWS = Windows(
-    obs_start=199901,
-    obs_end=200126,
-    active_start=200119,
-    active_end=200126,
-    target_week=200127,
-    periods=(199901, 200027, 200119, 200126),
-    labels=("130", "52", "8", "1"),
-)
-# The curated model features carry these period names.
-CURATED = replace(WINDOWS, labels=("52", "26", "8", "1"))
+WINDOWS = Windows()
 EVERY_WEEK = (0, 999999)
 CORR_COLUMNS = ["SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY", "SPEND", "SHOP_WEEK"]
 BASKET_SEGMENTS = ["BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "BASKET_TYPE", "BASKET_DOMINANT_MISSION"]
@@ -188,8 +176,8 @@ def replace_infinite(spark, path):
 
 def filter_cust_trans(spark, path):
     rows = basket_view(spark, path)
-    train = labels.filter_window(rows, 200119, 200122)
-    test = labels.filter_window(rows, 200123, 200126)
+    train = labels.filter_window(rows, 200808, 200811)
+    test = labels.filter_window(rows, 200812, 200815)
     return assemble.filter_cust_trans(rows, train, test, WINDOWS.obs_start, WINDOWS.obs_end)
 
 
@@ -204,24 +192,21 @@ def fixed_factors(rows: DataFrame, key: str) -> DataFrame:
 def merge_features(spark, path):
     rows = basket_view(spark, path)
     pairs = stage(weekly.training_sample(rows, WINDOWS), "pairs")
-    tables = weekly.feature_tables(observed(spark, path), WINDOWS)
+    tables = weekly.feature_tables(observed(spark, path), WINDOWS, wanted=pairs)
     user = weekly.prefixed_factors(fixed_factors(tables.transactions, CUST), CUST, "USER")
     item = weekly.prefixed_factors(fixed_factors(tables.transactions, PROD), PROD, "ITEM")
-    merged = [
-        assemble.merge_features(
-            pairs.where(F.col("IN_TEST") == side),
-            tables.summary,
-            tables.changes,
-            tables.gaps,
-            tables.ratios,
-            tables.customer_segments,
-            tables.item_segments,
-            user,
-            item,
-        )
-        for side in (0, 1)
-    ]
-    return merged[0].unionByName(merged[1])
+    return assemble.merge_features(
+        pairs,
+        tables.summary,
+        None,
+        tables.gaps,
+        None,
+        tables.customer_segments,
+        tables.item_segments,
+        user,
+        item,
+        side="IN_TEST",
+    )
 
 
 class FixedModel(NamedTuple):
@@ -591,9 +576,9 @@ def shap_dependence(spark, path):
 
 def feature_table(spark, path):
     rows = basket_view(spark, path)
-    pairs = stage(weekly.training_sample(rows, CURATED), "pairs")
-    found = weekly.recommend_products(rows, CURATED, top_x=10, **ALS_SETTINGS)
-    return weekly.feature_table(rows, pairs, CURATED, found.user_factors, found.item_factors)
+    pairs = stage(weekly.training_sample(rows, WINDOWS), "pairs")
+    found = weekly.recommend_products(rows, WINDOWS, top_x=10, **ALS_SETTINGS)
+    return weekly.feature_table(rows, pairs, WINDOWS, found.user_factors, found.item_factors)
 
 
 def recommend_products(spark, path):
@@ -604,7 +589,7 @@ def recommend_products(spark, path):
 
 def purchase_probability(spark, path):
     return weekly.purchase_probability(
-        basket_view(spark, path), CURATED, "forest", FOREST, {**ALS_SETTINGS, "top_x": 10}
+        basket_view(spark, path), WINDOWS, "forest", FOREST, {**ALS_SETTINGS, "top_x": 10}
     ).scores
 
 

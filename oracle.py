@@ -7,10 +7,10 @@ from shelfwise.schema import LEVELS, SEGMENT_VALUES, SEGMENTS, TRANSACTION_SCHEM
 from shelfwise.sources.basket_view import basket_view_sql
 
 COLUMNS = TRANSACTION_SCHEMA.names
-OBS = "SHOP_WEEK BETWEEN 199901 AND 200126"
-ACTIVE = "SHOP_WEEK BETWEEN 200119 AND 200126"
-PERIODS = [199901, 200027, 200119, 200126]
-LABELS = ["130", "52", "8", "1"]
+OBS = "SHOP_WEEK BETWEEN 200716 AND 200815"
+ACTIVE = "SHOP_WEEK BETWEEN 200808 AND 200815"
+PERIODS = [200716, 200742, 200808, 200815]
+LABELS = ["52", "26", "8", "1"]
 
 
 def with_txn(body: str, **ctes: str) -> str:
@@ -35,7 +35,7 @@ DAY_PART = (
 )
 WKDAY = "CASE WHEN SHOP_WEEKDAY IN (1, 7) THEN 'WEEKEND' ELSE 'WEEKDAY' END"
 TARGETS = (
-    "SELECT DISTINCT CUST_CODE, PROD_CODE, 1 AS TARGET FROM txn WHERE SHOP_WEEK = 200127"
+    "SELECT DISTINCT CUST_CODE, PROD_CODE, 1 AS TARGET FROM txn WHERE SHOP_WEEK = 200816"
     " AND CUST_CODE IS NOT NULL AND PROD_CODE IS NOT NULL"
 )
 ACTIVE_CUSTOMERS = f"SELECT DISTINCT CUST_CODE FROM txn WHERE {ACTIVE} AND CUST_CODE IS NOT NULL"
@@ -406,7 +406,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "filter_cust_trans": with_txn(
             f"SELECT {every} FROM obs WHERE EXISTS (SELECT 1 FROM txn t WHERE t.CUST_CODE = obs.CUST_CODE"
-            " AND t.PROD_CODE = obs.PROD_CODE AND t.SHOP_WEEK BETWEEN 200119 AND 200126)"
+            " AND t.PROD_CODE = obs.PROD_CODE AND t.SHOP_WEEK BETWEEN 200808 AND 200815)"
         ),
         "add_non_target": with_txn("SELECT * FROM pairs", **LABEL_CTES),
         "merge_features": with_txn(merged(), **stages),

@@ -29,6 +29,7 @@ def stage_root(spark: SparkSession) -> str:
 
 
 _open = threading.local()
+_tables: list[str] = []
 
 
 class Scratch:
@@ -84,14 +85,33 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def stage_bucketed(df: DataFrame, keys: list[str], label: str = "bucketed") -> DataFrame:
+    """Stage ``df`` in buckets of ``keys``: tables staged by the same keys, as many columns
+    as they may have, join without an exchange.
+
+    There are as many buckets as shuffle partitions, so rows that come out of an exchange
+    on the keys go to one bucket per task. The table is external and its name goes from
+    the catalogue with ``drop_stages``.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = f"stage_{path.rsplit('-', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    _tables.append(name)
+    return spark.table(name)
+
+
+def stage_all(tables: dict[str, DataFrame], buckets: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """Stage independent tables side by side, so one job's last tasks do not
-    leave the cluster idle."""
+    leave the cluster idle; those named in ``buckets`` by the keys given there."""
     spark = next(iter(tables.values())).sparkSession
     stage_root(spark)
 
     @inheritable_thread_target(spark)
     def write(label: str) -> DataFrame:
+        if label in (buckets or {}):
+            return stage_bucketed(tables[label], buckets[label], label)
         return stage(tables[label], label)
 
     with ThreadPool(len(tables)) as pool:
@@ -100,4 +120,6 @@ def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete the stages of this application once its results are stored."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     _delete(spark, stage_root(spark))

@@ -38,22 +38,24 @@ def training_sample(transactions: DataFrame, windows: Windows, test_share: float
 
 @dataclass
 class FeatureTables:
-    """Feature tables of one observation window."""
+    """Feature tables of one observation window; ``summary`` holds the changes of its
+    periods and ``gaps`` the gap ratios."""
 
     transactions: DataFrame
     summary: DataFrame
-    changes: DataFrame
     gaps: DataFrame
-    ratios: DataFrame
     customer_segments: DataFrame
     item_segments: DataFrame
 
 
-def feature_tables(transactions: DataFrame, windows: Windows, values=SEGMENT_VALUES) -> FeatureTables:
+def feature_tables(
+    transactions: DataFrame, windows: Windows, values=SEGMENT_VALUES, wanted: DataFrame | None = None
+) -> FeatureTables:
     """Compute every feature table of the given (already restricted) rows.
 
     The rows and the tables that feed later joins are staged, so each is computed
-    once. The four tables only depend on the rows and are computed side by side.
+    once. The four tables only depend on the rows and are computed side by side; the two
+    of pairs lie in buckets of the pair, and hold only ``wanted`` pairs where given.
     """
     levels = list(windows.levels)
     rows = stage(segments.with_shopping_segments(transactions), "restricted")
@@ -61,19 +63,18 @@ def feature_tables(transactions: DataFrame, windows: Windows, values=SEGMENT_VAL
     staged = stage_all(
         {
             "summary": hierarchy.sp_vi_qu(
-                rows, products, windows.periods, windows.labels, levels
+                rows, products, windows.periods, windows.labels, levels, wanted
             ),
-            "gaps": recency.time_last_purchased(rows, products, levels),
+            "gaps": recency.time_last_purchased(rows, products, levels, wanted),
             "customers": segments.seg_summary(rows, CUST, SEGMENTS, values),
             "items": segments.seg_summary(rows, PROD, SEGMENTS, values),
-        }
+        },
+        {"summary": PAIR, "gaps": PAIR},
     )
     return FeatureTables(
         transactions=rows,
-        summary=staged["summary"],
-        changes=hierarchy.chng_features(staged["summary"], windows.labels[::-1], levels),
-        gaps=staged["gaps"],
-        ratios=recency.time_since_ratios(staged["gaps"], levels),
+        summary=hierarchy.with_changes(staged["summary"], windows.labels[::-1], levels),
+        gaps=recency.with_ratios(staged["gaps"], levels),
         customer_segments=staged["customers"],
         item_segments=staged["items"],
     )
@@ -87,20 +88,21 @@ def prefixed_factors(factors: DataFrame, key: str, prefix: str) -> DataFrame:
 
 
 def merge_all(
-    pairs: DataFrame, tables: FeatureTables, user_factors: DataFrame, item_factors: DataFrame, fills=None
+    pairs: DataFrame, tables: FeatureTables, user_factors: DataFrame, item_factors: DataFrame, fills=None, side=None
 ) -> DataFrame:
     """Join every feature table and the customer segments to labelled pairs."""
     merged = assemble.merge_features(
         pairs,
         tables.summary,
-        tables.changes,
+        None,
         tables.gaps,
-        tables.ratios,
+        None,
         tables.customer_segments,
         tables.item_segments,
         prefixed_factors(user_factors, CUST, "USER"),
         prefixed_factors(item_factors, PROD, "ITEM"),
         fills,
+        side,
     )
     return assemble.append_cust_segments(tables.transactions, merged)
 
@@ -115,16 +117,15 @@ def feature_table(
     """Features of the train and test pairs (column IN_TEST tells them apart).
 
     Transactions are restricted to the modelled pairs and the observation
-    window. Train and test are merged apart, since each frame fills its missing
-    gaps with its own largest value.
+    window. Train and test are merged in one pass, and each fills its missing gaps with
+    its own largest value.
     """
     sides = [pairs.where(F.col("IN_TEST") == side) for side in (0, 1)]
     restricted = assemble.filter_cust_trans(
         transactions, sides[0], sides[1], windows.obs_start, windows.obs_end
     )
     tables = feature_tables(restricted, windows)
-    merged = [merge_all(side, tables, user_factors, item_factors) for side in sides]
-    return replace_inf(merged[0].unionByName(merged[1]))
+    return replace_inf(merge_all(pairs, tables, user_factors, item_factors, side="IN_TEST"))
 
 
 @dataclass

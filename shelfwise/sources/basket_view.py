@@ -6,12 +6,21 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The order dates of the star schema spread few baskets over many years. They are drawn
+# together, in order, into the 60 weeks from 200712 to 200819, so that the windows of 52,
+# 26, 8 and 1 weeks before a target week, and that week, all hold baskets.
+FIRST_ORDER, FIRST_DAY = date(1995, 1, 1), date.fromisocalendar(2007, 12, 1)
+ORDER_DAYS, CALENDAR_DAYS = 2405, 60 * 7
+_DAY = f"CAST(floor({{DAYS}} * {CALENDAR_DAYS} / {ORDER_DAYS}) AS INT)"
+SPARK_DAY = f"date_add(DATE'{FIRST_DAY}', {_DAY.format(DAYS=f"datediff(o_orderdate, DATE'{FIRST_ORDER}')")})"
+SQL_DAY = f"(DATE '{FIRST_DAY}' + {_DAY.format(DAYS=f"datediff('day', DATE '{FIRST_ORDER}', CAST(o_orderdate AS DATE))")})"
+
 # One expression per transaction column, in the common subset of Spark SQL and
-# ANSI SQL. ISOYEAR and DOW stand for the two date parts that dialects spell
-# differently.
+# ANSI SQL. DAY is the day of the basket; ISOYEAR and DOW stand for the two date parts
+# that dialects spell differently.
 VIEW_COLUMNS = {
-    "SHOP_WEEK": "CAST(extract({ISOYEAR} FROM o_orderdate) * 100 + extract(week FROM o_orderdate) AS INT)",
-    "SHOP_DATE": "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT)",
+    "SHOP_WEEK": "CAST(extract({ISOYEAR} FROM {DAY}) * 100 + extract(week FROM {DAY}) AS INT)",
+    "SHOP_DATE": "CAST(year({DAY}) * 10000 + month({DAY}) * 100 + day({DAY}) AS INT)",
     "SHOP_WEEKDAY": "CAST({DOW} AS INT)",
     "SHOP_HOUR": "CAST(o_orderkey % 24 AS INT)",
     "QUANTITY": "CAST(l_quantity AS INT)",
@@ -46,21 +55,29 @@ VIEW_COLUMNS = {
 }
 
 
-def basket_view_sql(isoyear: str = "isoyear", dow: str = "(dayofweek(o_orderdate) + 1)") -> str:
+def _columns(day: str, isoyear: str, dow: str) -> list[str]:
+    dow = dow.format(DAY=day)
+    return [f"{sql.format(DAY=day, ISOYEAR=isoyear, DOW=dow)} AS {name}" for name, sql in VIEW_COLUMNS.items()]
+
+
+def basket_view_sql() -> str:
     """The view as one ANSI SELECT, for engines other than Spark."""
-    columns = ", ".join(
-        f"{sql.format(ISOYEAR=isoyear, DOW=dow)} AS {name}"
-        for name, sql in VIEW_COLUMNS.items()
-    )
+    columns = ", ".join(_columns(SQL_DAY, "isoyear", "(dayofweek({DAY}) + 1)"))
     return f"SELECT {columns} FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 
 
+def order_date(day: date) -> date:
+    """First order date that falls on ``day`` or later."""
+    passed = (day - FIRST_DAY).days
+    return FIRST_ORDER + timedelta(days=-(-passed * ORDER_DAYS // CALENDAR_DAYS))
+
+
 def basket_view(
     spark: SparkSession, path: str, weeks: tuple[int, int] | None = None
 ) -> DataFrame:
     """Transactions read from ``orders`` and ``lineitem`` parquet under ``path``.
 
-    ``weeks`` keeps an inclusive week range. It is written as a date range, which
+    ``weeks`` keeps an inclusive week range. It is written as a range of order dates, which
     the parquet scan of ``orders`` can use to skip row groups; a filter on the
     computed week code could not. Both tables grow with the data, so the join
     carries no hint and Spark compares their sizes.
@@ -69,15 +86,12 @@ def basket_view(
     orders = spark.read.parquet(f"{path}/orders.parquet")
     if weeks:
         first, last = (divmod(week, 100) for week in weeks)
-        start = date.fromisocalendar(*first, 1)
-        end = date.fromisocalendar(*last, 7) + timedelta(days=1)
+        start = order_date(date.fromisocalendar(*first, 1))
+        end = order_date(date.fromisocalendar(*last, 7) + timedelta(days=1))
         kind = dict(orders.dtypes)["o_orderdate"]
         orders = orders.where(
             f"o_orderdate >= CAST('{start}' AS {kind}) AND o_orderdate < CAST('{end}' AS {kind})"
         )
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
-        *[
-            f"{sql.format(ISOYEAR='yearofweek', DOW='dayofweek(o_orderdate)')} AS {name}"
-            for name, sql in VIEW_COLUMNS.items()
-        ]
+        *_columns(SPARK_DAY, "yearofweek", "dayofweek({DAY})")
     )

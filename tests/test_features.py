@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import assemble, hierarchy, labels, recency, segments
-from shelfwise.schema import LEVELS, SEGMENTS
+from shelfwise.schema import LEVELS, PAIR, SEGMENTS
 
 PERIODS, LABELS = [200801, 200804, 200808], ["8", "4", "1"]
 PARENTS = LEVELS[1:]
@@ -219,6 +219,58 @@ def test_assembly_fills_and_drops(spark, make_lines):
     assert given["U2"].TIME_BTWN_MEDIAN_CUST_PROD_CODE == 7.0
 
 
+def test_merge_of_two_frames_without_exchange_of_pair_tables(spark):
+    from shelfwise.functions.staging import stage_bucketed
+
+    pairs = spark.createDataFrame(
+        [("U1", "P1", 0), ("U2", "P1", 0), ("U1", "P2", 1), ("U3", "P2", 1), ("U4", "P1", 2)],
+        "CUST_CODE string, PROD_CODE string, IN_TEST int",
+    )
+    key = "CUST_CODE string, PROD_CODE string"
+    summary = stage_bucketed(spark.createDataFrame([("U1", "P1", 5.0), ("U1", "P2", 6.0)], f"{key}, S double"), PAIR)
+    gaps = stage_bucketed(
+        spark.createDataFrame(
+            [("U1", "P1", 4, 2.0, 9.0), ("U1", "P2", 6, 0.0, 3.0), ("U9", "P1", 7, 1.0, 99.0)],
+            f"{key}, TIME_BTWN_LAST_PROD_CODE int, TIME_BTWN_MEDIAN_CUST_PROD_CODE double, TIME_BTWN_MEDIAN_OVERALL_PROD_CODE double",
+        ),
+        PAIR,
+    )
+    both = recency.with_ratios(gaps, ["PROD_CODE"])
+    people = spark.createDataFrame([(f"U{i}", float(i)) for i in range(1, 5)], "CUST_CODE string, f double")
+    items = spark.createDataFrame([("P1", 1.0), ("P2", 2.0)], "PROD_CODE string, g double")
+    merged = assemble.merge_features(
+        pairs, summary, None, both, None, people, items, people.withColumnRenamed("f", "u"), items.withColumnRenamed("g", "i"),
+        side="IN_TEST",
+    )
+    got = {(r.CUST_CODE, r.PROD_CODE): r for r in merged.collect()}
+    assert len(got) == 5
+    # Each frame has its own fills; the third has met none.
+    assert (got["U2", "P1"].TIME_BTWN_LAST_PROD_CODE, got["U2", "P1"].TIME_BTWN_RATIO_OVERALL_PROD_CODE) == (9.0, 4 / 9)
+    assert (got["U3", "P2"].TIME_BTWN_LAST_PROD_CODE, got["U3", "P2"].TIME_BTWN_RATIO_CUST_PROD_CODE) == (3.0, 2.0)
+    # 6 days over a median of 0 is null and filled too.
+    assert got["U1", "P2"].TIME_BTWN_RATIO_CUST_PROD_CODE == 2.0 and got["U1", "P2"].S == 6.0
+    assert got["U4", "P1"].TIME_BTWN_LAST_PROD_CODE is None and got["U4", "P1"].S == 0.0
+    # The tables of pairs are read by bucket, so the only pair-keyed exchanges are those of the narrow pairs.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merged.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [x for x in plan if "Exchange hashpartitioning(CUST_CODE" in x and "PROD_CODE" in x.split("hashpartitioning")[1].split(")")[0]]
+    assert len(exchanges) == 2 and sum("Bucketed: true" in x for x in plan) == 3
+
+
+def test_bought_pairs_can_be_restricted(make_lines, spark):
+    df = make_lines([{"CUST_CODE": u, "PROD_CODE": p, "SHOP_DATE": d} for u in ("U1", "U2") for p in ("P1", "P2") for d in (20080101, 20080109)])
+    one = spark.createDataFrame([("U1", "P2"), ("U7", "P1")], "CUST_CODE string, PROD_CODE string")
+    products = labels.hierarchy_map(df, LEVELS)
+    every = {(r.CUST_CODE, r.PROD_CODE): r for r in hierarchy.sp_vi_qu(df, products, PERIODS, LABELS).collect()}
+    some = hierarchy.sp_vi_qu(df, products, PERIODS, LABELS, wanted=one).collect()
+    assert len(every) == 4 and some == [every["U1", "P2"]]
+    gaps = recency.time_last_purchased(df, products, wanted=one).collect()
+    assert [(r.CUST_CODE, r.PROD_CODE) for r in gaps] == [("U1", "P2")]
+
+
 def test_customer_segments(spark, make_lines):
     rows = make_lines(
         [
