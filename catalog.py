@@ -236,6 +236,14 @@ def score_pairs_fixed(spark, path):
     return recommend.score_pairs(model, pairs).select(*PAIR, "QUANTITY", F.round("PRED_QUANTITY", 9).alias("score"))
 
 
+def predict_top_x_fixed(spark, path):
+    """Best products by factors that are multiples of a quarter, so that many scores tie."""
+    model, maps, _ = fixed_model(spark, path)
+    quarters = F.transform("features", lambda x: F.floor(x * 16) / 4.0)
+    coarse = FixedModel(*[f.select("id", quarters.alias("features")) for f in model[:2]], 2)
+    return recommend.predict_top_x(coarse, maps[CUST], maps[PROD], 5).withColumnRenamed("PRED_QUANTITY", "score")
+
+
 def mse_fixed(spark, path):
     model, _, pairs = fixed_model(spark, path)
     return recommend.als_mse(model, pairs.where("QUANTITY > 50"), pairs.where("QUANTITY <= 50")).select(
@@ -354,6 +362,7 @@ def sql_queries() -> dict[str, Query]:
         "create_mapping": lambda s, p: dense_index(quantities(s, p), CUST, "index_CUST_CODE"),
         "merge_mapping": merge_mapping,
         "score_pairs_fixed": score_pairs_fixed,
+        "predict_top_x_fixed": predict_top_x_fixed,
         "mse_fixed": mse_fixed,
         "factor_tables_fixed": factor_tables_fixed,
         "model_store": model_store,

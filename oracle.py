@@ -423,6 +423,15 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT CUST_CODE, PROD_CODE, QUANTITY, round({DOT}, 9) AS score FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE)",
             quant=QUANT, u=EVERY_USER, i=EVERY_ITEM,
         ),
+        "predict_top_x_fixed": with_txn(
+            "SELECT CUST_CODE, PROD_CODE, score, pred_rank FROM ("
+            "SELECT *, CAST(dense_rank() OVER (PARTITION BY CUST_CODE ORDER BY score DESC) AS INT) AS pred_rank FROM ("
+            "SELECT CUST_CODE, PROD_CODE, a * c + b * d AS score FROM"
+            " (SELECT CUST_CODE, floor(USER_factor_0 * 16) / 4 AS a, floor(USER_factor_1 * 16) / 4 AS b FROM u) u,"
+            " (SELECT PROD_CODE, floor(ITEM_factor_0 * 16) / 4 AS c, floor(ITEM_factor_1 * 16) / 4 AS d FROM i) i"
+            " WHERE a <> 0 OR b <> 0) x) y WHERE pred_rank <= 5",
+            u=EVERY_USER, i=EVERY_ITEM,
+        ),
         "mse_fixed": with_txn(
             "SELECT CASE WHEN QUANTITY > 50 THEN 'train' ELSE 'test' END AS split, count(*) AS n,"
             f" round(avg(pow(QUANTITY - ({DOT}), 2)), 6) AS mse FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE) GROUP BY 1",

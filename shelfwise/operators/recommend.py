@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from random import Random
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -16,6 +16,7 @@ from shelfwise.functions.ordering import dense_index
 from shelfwise.functions.staging import stage, stage_root
 from shelfwise.operators.labels import drop_null_customers, filter_window
 from shelfwise.operators.sampling import als_holdout
+from shelfwise.operators.topk import top_products
 from shelfwise.operators.transforms import group_bounds, normalize_min_max, winsorize
 from shelfwise.schema import CUST, PAIR, PROD
 
@@ -175,48 +176,16 @@ def user_item_factors(model: ALSModel, customers: DataFrame, items: DataFrame) -
     )
 
 
-def _ranked(recommendations: DataFrame) -> DataFrame:
-    """Recommendation arrays to rows with their dense rank. The rows of a customer
-    stay where the array was, so the rank only sorts inside the customer."""
-    rows = recommendations.select(
-        "user", F.explode("recommendations").alias("r")
-    ).select("user", F.col("r.item").alias("item"), F.col("r.rating").cast("double").alias(SCORE))
-    order = Window.partitionBy("user").orderBy(F.desc(SCORE))
-    return rows.withColumn("pred_rank", F.dense_rank().over(order))
-
-
 def predict_top_x(model: ALSModel, customers: DataFrame, items: DataFrame, top_x: int) -> DataFrame:
     """Products of dense rank up to ``top_x`` per customer, ties kept.
 
-    The blocked top-k of the model is asked for ``top_x + 1`` products. If the
-    last one ranks beyond ``top_x``, every tie within is in the list; customers
-    for whom it does not are asked again with twice as many, up to all products.
-    A customer whose factors are all zero scores every product alike and gets none.
+    Scores are those of ``score_pairs``. A customer whose factors are all zero scores
+    every product alike and gets none (``topk.top_products``).
     """
-    n_items = items.count()
-    known = model.userFactors.where(F.exists("features", lambda x: x != 0)).select(F.col("id").alias("user"))
-    k = min(top_x + 1, n_items)
-    found = stage(_ranked(model.recommendForAllUsers(k)).join(known, "user", "left_semi"), "ranked")
-    parts = []
-    while True:
-        last = found.groupBy("user").agg(F.max("pred_rank").alias("last"))
-        open_users = stage(last.where(F.col("last") <= top_x).select("user"), "open") if k < n_items else None
-        if open_users is None or open_users.isEmpty():
-            parts.append(found)
-            break
-        parts.append(found.join(open_users, "user", "left_anti"))
-        k = min(2 * k, n_items)
-        found = stage(_ranked(model.recommendForUserSubset(open_users, k)), "ranked")
-    ranked = parts[0]
-    for part in parts[1:]:
-        ranked = ranked.unionByName(part)
+    found = top_products(model.userFactors, model.itemFactors, top_x)
     return (
-        ranked.where(F.col("pred_rank") <= top_x)
-        .select(
-            F.col("user").cast("bigint").alias(USER_INDEX),
-            F.col("item").cast("bigint").alias(ITEM_INDEX),
-            SCORE,
-            "pred_rank",
+        found.select(
+            F.col("user").alias(USER_INDEX), F.col("item").alias(ITEM_INDEX), F.col("score").alias(SCORE), "pred_rank"
         )
         .join(customers, USER_INDEX)
         .join(items, ITEM_INDEX)

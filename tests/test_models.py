@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import classify, explain, recommend, selection
+from shelfwise.operators import classify, explain, recommend, selection, topk
 
 
 @pytest.fixture(scope="module")
@@ -69,27 +69,57 @@ class TiedModel:
     """Stands for a fitted model: every product scores the same for user 0."""
 
     def __init__(self, spark, n):
-        self.spark, self.n = spark, n
-        self.userFactors = spark.createDataFrame([(0, [0.5]), (1, [1.0]), (2, [0.0])], "id int, features array<float>")
-
-    def recommendForAllUsers(self, k, users=(0, 1)):
-        score = {0: lambda i: 0.5, 1: lambda i: float(self.n - i)}
-        rows = [
-            (u, sorted(((i, score[u](i)) for i in range(self.n)), key=lambda r: (-r[1], r[0]))[:k]) for u in users
-        ]
-        return self.spark.createDataFrame(rows, "user int, recommendations array<struct<item int, rating float>>")
-
-    def recommendForUserSubset(self, users, k):
-        return self.recommendForAllUsers(k, [r[0] for r in users.collect()])
+        self.userFactors = spark.createDataFrame(
+            [(0, [0.5, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 0.0])], "id int, features array<float>"
+        )
+        self.itemFactors = spark.createDataFrame([(i, [1.0, float(n - i)]) for i in range(n)], "id int, features array<float>")
 
 
 def test_ties_are_all_kept(spark):
     n = 9
-    users = spark.createDataFrame([("U0", 0), ("U1", 1)], "CUST_CODE string, index_CUST_CODE bigint")
+    users = spark.createDataFrame([("U0", 0), ("U1", 1), ("U2", 2)], "CUST_CODE string, index_CUST_CODE bigint")
     items = spark.createDataFrame([(f"P{i}", i) for i in range(n)], "PROD_CODE string, index_PROD_CODE bigint")
     found = recommend.predict_top_x(TiedModel(spark, n), users, items, 2).collect()
     assert sorted(r.PROD_CODE for r in found if r.CUST_CODE == "U0") == [f"P{i}" for i in range(n)]
     assert sorted((r.PROD_CODE, r.pred_rank) for r in found if r.CUST_CODE == "U1") == [("P0", 1), ("P1", 2)]
+    assert not any(r.CUST_CODE == "U2" for r in found)
+
+
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 600])
+def test_best_products_by_chunks(spark, chunk_bytes, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    draw = np.random.default_rng(3)
+    # Quarters tie often; lengths differ by far, so that scans end early.
+    users = np.round(draw.normal(size=(40, 3)) * 4) / 4
+    items = np.round(draw.normal(size=(90, 3)) * draw.exponential(2, (90, 1)) * 4) / 4
+    table = lambda m: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id long, features array<double>")
+    got = topk.top_products(table(users), table(items), 4, chunk_bytes).collect()
+    expected = set()
+    for u, row in enumerate(users):
+        scores = (row * items).sum(1)
+        ranks = {s: i for i, s in enumerate(sorted(set(scores.tolist()), reverse=True), 1)}
+        if row.any():
+            expected |= {(u, i, s, ranks[s]) for i, s in enumerate(scores.tolist()) if ranks[s] <= 4}
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_best_products_of_nothing(spark):
+    some = spark.createDataFrame([(1, [1.0])], "id long, features array<double>")
+    assert topk.top_products(some, some.limit(0), 3).collect() == []
+    assert topk.top_products(some.limit(0), some, 3).collect() == []
+
+
+def test_scans_end_at_the_bound(monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 10)
+    seen = []
+    dots = topk.dots
+    monkeypatch.setattr(topk, "dots", lambda u, v: seen.append(len(u)) or dots(u, v))
+    items = np.linspace(100, 1, 100)[:, None]
+    none = [(np.empty(0), np.empty(0, np.int64))] * 2
+    found, more = topk.scan(np.array([[1.0], [-1.0]]), none, items, np.arange(100), items[:, 0], 0.5, 3)
+    assert found[0][1].tolist() == [0, 1, 2] and not more[0]
+    # The second customer likes the shortest best and must see all.
+    assert sorted(found[1][1].tolist()) == [97, 98, 99] and more[1] and seen == [2] + [1] * 9
 
 
 def test_als_search_finds_its_lowest_loss(ratings):
