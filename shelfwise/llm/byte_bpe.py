@@ -29,7 +29,7 @@ _WORD = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 
 #: Keys of a generation of a task's memory, and their greatest length.
-MEMO_ENTRIES, MEMO_BYTES = 200_000, 64
+MEMO_ENTRIES, MEMO_BYTES = 150_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -163,13 +163,14 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class Words:
+class Words(Memo):
     """Ids of pre-tokens, as little-endian 32-bit integers.
 
     The perfect hash answers for whole pre-tokens; the heap asks for the ranks of many
     short parts, most of which are no tokens, in a plain table."""
 
     def __init__(self, table: PerfectHash):
+        super().__init__()
         self.rank, self.ranks = table.rank, dict(zip(table.keys, table.ranks, strict=True))
         self.packed = {r: r.to_bytes(4, "little") for r in table.ranks}
 
@@ -198,7 +199,7 @@ class Encoder(Memo):
         return self.whole(" " + part)
 
     def whole(self, text: str) -> bytes:
-        return b"".join(map(self.words.make, self.split(text)))
+        return b"".join(map(self.words.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         if self.run(text):
@@ -230,7 +231,9 @@ def tokenize(
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashed = PerfectHash(*table.value)
         encoder = Encoder(hashed, pattern)
-        by_rank = {rank: key for key, rank in zip(hashed.keys, hashed.ranks, strict=True)}
+        by_rank = [b""] * (max(hashed.ranks, default=-1) + 1)
+        for key, rank in zip(hashed.keys, hashed.ranks, strict=True):
+            by_rank[rank] = key
         for texts in batches:
             packed, plain = [], []
             for value in texts:
