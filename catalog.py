@@ -120,6 +120,10 @@ def scored(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def report_of_scores(spark: SparkSession, path: str) -> DataFrame:
+    return rounded(evaluate.classification_report(evaluate.threshold_predictions(scored(spark, path))))
+
+
 def split_flag(parts: tuple[DataFrame, DataFrame], flags: tuple[int, int]) -> DataFrame:
     return parts[0].withColumn("IN_TEST", F.lit(flags[0])).unionByName(
         parts[1].withColumn("IN_TEST", F.lit(flags[1]))
@@ -368,6 +372,10 @@ def sql_queries() -> dict[str, Query]:
         "model_store": model_store,
         "pairs_csv_roundtrip": pairs_csv_roundtrip,
         "label_first_csv": label_first_csv,
+        "snapshot_append": snapshot_append,
+        "calendar_scan": calendar_scan,
+        "stored_factors": stored_factors,
+        "stored_report": stored_report,
         "sp_vi_qu": summary,
         "chng_features": lambda s, p: hierarchy.chng_features(summary(s, p), WINDOWS.labels[::-1]),
         "time_last_purchased": gaps,
@@ -420,9 +428,7 @@ def sql_queries() -> dict[str, Query]:
         ),
         "class_weights": class_weights,
         "threshold_predictions": threshold_predictions,
-        "classification_report": lambda s, p: rounded(
-            evaluate.classification_report(evaluate.threshold_predictions(scored(s, p)))
-        ),
+        "classification_report": report_of_scores,
         "roc_auc": lambda s, p: rounded(evaluate.roc_auc(scored(s, p))),
         "training_sample": lambda s, p: weekly.training_sample(view(s, p), WINDOWS),
     }
@@ -524,6 +530,44 @@ def pairs_csv_roundtrip(spark, path):
     return transactions.read_table(spark, folder, "csv", pairs.schema)
 
 
+def snapshot_append(spark, path):
+    """A snapshot, loads of later weeks, and one of them once more."""
+    folder, rows = scratch(spark, "snapshot"), basket_view(spark, path)
+    transactions.write_snapshot(rows.where("SHOP_WEEK <= 200810"), folder)
+    for weeks in ("SHOP_WEEK > 200810", "SHOP_WEEK BETWEEN 200809 AND 200812"):
+        transactions.append_weeks(rows.where(weeks), folder)
+    return transactions.read_snapshot(spark, folder)
+
+
+def calendar_scan(spark, path):
+    """Weeks of the baskets as a calendar file, read back."""
+    folder = scratch(spark, "calendar")
+    weeks = basket_view(spark, path).groupBy("SHOP_WEEK").agg(
+        F.min("SHOP_DATE").alias("DATE_FROM"), F.max("SHOP_DATE").alias("DATE_TO")
+    )
+    weeks.write.csv(f"{folder}/{transactions.CALENDAR_FILE}", header=True)
+    return transactions.scan_calendar(spark, folder)
+
+
+def stored_factors(spark, path):
+    """Factor tables stored as CSV and parquet, one per side."""
+    model, maps, _ = fixed_model(spark, path)
+    sides = recommend.user_item_factors(model, maps[CUST], maps[PROD])
+    found = []
+    for table, key, fmt in zip(sides, PAIR, ("csv", "parquet"), strict=True):
+        folder = scratch(spark, "factors")
+        transactions.write_table(table, folder, fmt)
+        found.append(transactions.read_table(spark, folder, fmt, table.schema).withColumnRenamed(key, "code"))
+    return found[0].unionByName(found[1])
+
+
+def stored_report(spark, path):
+    """Evaluation report stored as JSON lines and read back."""
+    report, folder = report_of_scores(spark, path), scratch(spark, "report")
+    model_tables.write_report(report, folder)
+    return spark.read.schema(report.schema).json(folder)
+
+
 def label_first_csv(spark, path):
     """Lines stored label first without a header."""
     rows = with_target(basket_view(spark, path))

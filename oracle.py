@@ -386,6 +386,10 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {', '.join('CASE WHEN QUANTITY % 10 = 0 THEN NULL ELSE SPEND END AS SPEND' if c == 'SPEND' else c for c in COLUMNS)} FROM txn"
         ),
         "snapshot_roundtrip": with_txn(f"SELECT {every} FROM obs"),
+        "snapshot_append": with_txn(f"SELECT {every} FROM txn"),
+        "calendar_scan": with_txn(
+            "SELECT SHOP_WEEK, min(SHOP_DATE) AS DATE_FROM, max(SHOP_DATE) AS DATE_TO FROM txn GROUP BY SHOP_WEEK"
+        ),
         "model_input": with_txn(
             'SELECT s.CUST_CODE, CAST(t.CUST_CODE IS NOT NULL AS INT) AS TARGET,'
             ' "BASKET_TYPE_PROP_VISITS_CUST_CODE_Small Shop" AS "BASKET_TYPE_PROP_VISITS_CUST_CODE_Small_Shop",'
@@ -437,6 +441,12 @@ def oracle_sql() -> dict[str, str]:
             f" round(avg(pow(QUANTITY - ({DOT}), 2)), 6) AS mse FROM quant JOIN u USING (CUST_CODE) JOIN i USING (PROD_CODE) GROUP BY 1",
             quant=QUANT, u=EVERY_USER, i=EVERY_ITEM,
         ),
+        "stored_report": report_sql(),
+        "stored_factors": with_txn(
+            "SELECT CUST_CODE AS code, USER_factor_0 AS factor_0, USER_factor_1 AS factor_1 FROM u"
+            " UNION ALL SELECT PROD_CODE, ITEM_factor_0, ITEM_factor_1 FROM i",
+            u=EVERY_USER, i=EVERY_ITEM,
+        ),
         "factor_tables_fixed": with_txn(
             "SELECT CUST_CODE AS code, USER_factor_0 AS factor_0, USER_factor_1 AS factor_1 FROM u"
             " UNION ALL SELECT PROD_CODE, ITEM_factor_0, ITEM_factor_1 FROM i",

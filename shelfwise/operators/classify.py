@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from random import Random
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
@@ -268,8 +269,9 @@ def tune_classifier(
 ) -> Search:
     """Seeded random search that maximises a metric of the test rows.
 
-    Trials run side by side as Spark jobs over one persisted training frame; only
-    settings and metrics reach the driver.
+    Trials run side by side as Spark jobs over one persisted training frame. Settings and
+    metrics of all trials reach the driver, and the model of the best so far: at no time
+    are there more models than trials under way and one.
     """
     random = Random(seed)
     settings = [draw(space or SPACES[kind], random) for _ in range(trials)]
@@ -277,21 +279,28 @@ def tune_classifier(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     score = evaluator(metric)
 
+    lead: list[tuple[float, int, Model]] = []
+    lock = Lock()
+
     @inheritable_thread_target(train.sparkSession)
-    def run(number: int) -> tuple[int, float, Model]:
+    def run(number: int) -> tuple[int, float]:
         model = BUILDERS[kind](rows, **settings[number]).fit(rows)
-        return number, score.evaluate(model.transform(test)), model
+        value = score.evaluate(model.transform(test))
+        with lock:
+            if not lead or (value, -number) > lead[0][:2]:
+                lead[:] = [(value, -number, model)]
+        return number, value
 
     with ThreadPool(min(parallelism, trials)) as pool:
         results = pool.map(run, range(trials))
     rows.unpersist()
-    best_number, _, best_model = max(results, key=lambda r: (r[1], -r[0]))
+    (_, minus, best_model), = lead
     table = train.sparkSession.createDataFrame(
-        [(n, value, {k: str(v) for k, v in settings[n].items()}) for n, value, _ in results],
+        [(n, value, {k: str(v) for k, v in settings[n].items()}) for n, value in results],
         "iteration int, objective double, params map<string,string>",
     )
     return Search(
-        table.orderBy(F.desc("objective"), "iteration"), settings[best_number], best_model
+        table.orderBy(F.desc("objective"), "iteration"), settings[-minus], best_model
     )
 
 

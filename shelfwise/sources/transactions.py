@@ -110,6 +110,21 @@ def write_snapshot(df: DataFrame, path: str, partition: str = "SHOP_WEEK") -> No
     df.hint("rebalance", F.col(partition)).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
+def append_weeks(df: DataFrame, path: str, partition: str = "SHOP_WEEK") -> None:
+    """Put the weeks of ``df`` into a snapshot: each replaces what the snapshot held of it.
+
+    Only the folders of those weeks are written, so a load neither touches nor doubles the
+    others, and a load that is repeated after a failure leaves the same rows.
+    """
+    (
+        df.hint("rebalance", F.col(partition))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Read a stored snapshot with its columns in declared order."""
     df = spark.read.option("basePath", path).parquet(path)

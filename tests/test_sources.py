@@ -117,3 +117,19 @@ def test_model_tables(spark, tmp_path):
     model_tables.append_trials(trials, str(tmp_path / "t"), restart=True)
     model_tables.append_trials(trials, str(tmp_path / "t"))
     assert spark.read.csv(str(tmp_path / "t"), header=True).count() == 2
+
+
+def test_weeks_are_appended_once(spark, make_lines, tmp_path):
+    folder = str(tmp_path / "snapshot")
+    week = lambda w, n, spend="1.00": make_lines([{"SHOP_WEEK": w, "BASKET_ID": i, "SPEND": spend} for i in range(n)])
+    transactions.write_snapshot(week(200801, 3).unionByName(week(200802, 2)), folder)
+    kept = sorted((tmp_path / "snapshot" / "SHOP_WEEK=200801").iterdir())
+    load = week(200803, 4).unionByName(week(200802, 5, "2.00"))
+    for _ in range(2):
+        transactions.append_weeks(load, folder)
+    rows = transactions.read_snapshot(spark, folder).collect()
+    assert sorted((r.SHOP_WEEK, str(r.SPEND)) for r in rows) == (
+        [(200801, "1.00")] * 3 + [(200802, "2.00")] * 5 + [(200803, "1.00")] * 4
+    )
+    # The files of other weeks are not touched.
+    assert sorted((tmp_path / "snapshot" / "SHOP_WEEK=200801").iterdir()) == kept
