@@ -130,11 +130,13 @@ def drop_recurring_lines(
     template recurs if lines of at least ``min_documents`` rows have it; repeated
     lines of a row count once. Null texts stay null and empty texts empty; a text
     whose lines all go becomes empty. Rows are told apart by their place, so null
-    and repeated ids do no harm. ``dropped`` replaces a column of that name.
+    and repeated ids do no harm. ``dropped`` replaces a column of that name, in any case;
+    all other columns are kept, whatever they are called.
     """
     docs = filed(docs)
     _, places = recurring(docs, text, min_documents)
-    gone = places.groupBy(FILE, POSITION).agg(F.sort_array(F.collect_set("line_no")).alias("gone__"))
+    name = fresh([*docs.columns, dropped], "gone")
+    gone = places.groupBy(FILE, POSITION).agg(F.sort_array(F.collect_set("line_no")).alias(name))
     placed, file, position = located(docs)
     f, p = fresh(placed.columns, "gone_file"), fresh(placed.columns, "gone_position")
     joined = placed.join(
@@ -143,10 +145,10 @@ def drop_recurring_lines(
         "left",
     )
     kept = F.array_join(
-        F.filter(F.split(quoted(text), "\n"), lambda line, i: ~F.array_contains("gone__", i)), "\n"
+        F.filter(F.split(quoted(text), "\n"), lambda line, i: ~F.array_contains(name, i)), "\n"
     )
-    out = F.when(F.col("gone__").isNull(), quoted(text)).otherwise(kept)
+    out = F.when(F.col(name).isNull(), quoted(text)).otherwise(kept)
     return joined.select(
-        *[out.alias(c) if c == text else quoted(c) for c in docs.columns if c != dropped],
-        F.coalesce("gone__", F.array().cast("array<int>")).alias(dropped),
+        *[out.alias(c) if c == text else quoted(c) for c in docs.columns if c.lower() != dropped.lower()],
+        F.coalesce(F.col(name), F.array().cast("array<int>")).alias(dropped),
     )

@@ -37,9 +37,14 @@ def external_shuffle(
     from files), not its values: repeated rows and a key that holds any share of
     them spread evenly. A single record beyond ``bucket_bytes`` is a
     bucket of its own size. An empty table gives none. Columns of the input
-    called ``shard`` or ``slot`` are kept under a name with an underscore.
+    called ``shard`` or ``slot``, in any case, are kept under a name with underscores
+    that no other column has.
     """
-    names = {c: fresh(["shard", "slot"], c) for c in records.columns}
+    names: dict[str, str] = {}
+    for c in records.columns:
+        others = [x for x in records.columns if x != c]
+        clashes = c.lower() in ("shard", "slot")
+        names[c] = fresh(["shard", "slot", *others, *names.values()], c) if clashes else c
     placed, file, position = located(filed(records))
     packed = placed.select(
         F.struct(F.col(file).alias("file"), F.col(position).alias("position")).alias("row"),

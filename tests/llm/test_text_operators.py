@@ -456,3 +456,21 @@ def test_bpe_keeps_clashing_columns(spark, ranks):
     assert got.columns == ["text", "coded", "bpe__", "_coded", "ids", "decoded"]
     row = got.first()
     assert row[:4] == ("one text", "a", "b", "c") and bytes(row.decoded) == b"one text"
+
+
+def test_shards_keep_clashing_columns(spark):
+    rows = [(i, 10, "a", "b", "c") for i in range(6)]
+    docs = spark.createDataFrame(rows, "id long, size int, shard string, _shard string, SLOT string")
+    got = sharding.external_shuffle(docs, shards=2)
+    assert got.columns == ["id", "size", "__shard", "_shard", "_SLOT", "shard", "slot"]
+    assert {(r["__shard"], r["_shard"], r["_SLOT"]) for r in got.collect()} == {("a", "b", "c")}
+
+
+def test_lines_keep_clashing_columns(spark):
+    rows = [("one line that all of them hold", "a", "b", "c", "d", "e") for _ in range(9)]
+    docs = spark.createDataFrame(
+        rows, "text string, gone__ string, gone string, gone_file string, Dropped_Lines string, gone_position string"
+    )
+    got = line_templates.drop_recurring_lines(docs)
+    assert got.columns == ["text", "gone__", "gone", "gone_file", "gone_position", "dropped_lines"]
+    assert {tuple(r[:5]) for r in got.collect()} == {("", "a", "b", "c", "e")}
