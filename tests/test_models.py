@@ -245,15 +245,38 @@ def test_feature_clusters(spark, standardized):
     assert groups == brute_ward(columns.T, 3)
 
 
-def test_groups_of_trees_add_up(spark, encoded, monkeypatch):
+def test_parts_of_a_forest_add_up(spark, encoded, monkeypatch):
     df, names = encoded
     model = small_forest(df).fit(df)
     whole = {r.id: [*r[1:-1]] for r in explain.shap_values(df, model, names, ["id"]).collect()}
-    monkeypatch.setattr(explain, "tree_groups", lambda nodes: [[t.treeID] for t in nodes.select("treeID").distinct().collect()])
-    for r in explain.shap_values(df, model, names, ["id"]).collect():
+    for setting, value in {"PART_TESTS": 12, "STACK_PATHS": 3, "BATCH_ROWS": 20, "CELLS": 50}.items():
+        monkeypatch.setattr(explain, setting, value)
+    found = explain.shap_values(df, model, names, ["id"]).collect()
+    assert len(found) == len(whole)
+    for r in found:
         assert [*r[1:-1]] == pytest.approx(whole[r.id])
 
 
+def test_attributions_of_no_rows_repeated_rows_and_a_forest_of_leaves(spark, encoded):
+    df, names = encoded
+    model = small_forest(df).fit(df)
+    assert explain.shap_values(df.limit(0), model, names, ["id"]).count() == 0
+    first = df.orderBy("id").limit(1)
+    twice = explain.shap_values(first.union(first), model, names, ["id"]).collect()
+    assert len(twice) == 2 and twice[0] == twice[1]
+    leaves = classify.forest(df, n_estimators=3, max_depth=0).fit(df)
+    for r in explain.shap_values(first, leaves, names, ["id"]).collect():
+        assert all(r[n] == 0 for n in names)
+        assert r.base_value == pytest.approx(classify.score(leaves, first).first().probability_1)
+
+
+def test_attributions_at_full_size_leave_no_residual(spark, encoded):
+    df, names = encoded
+    model = classify.forest(df, 236, "log2", 12).fit(df)
+    found = explain.residuals(explain.shap_values(df, model, names, ["id"]), df, model, names, ["id"]).collect()
+    assert len(found) == df.count() and max(abs(r.residual) for r in found) < 1e-9
+
+
 def test_als_does_not_depend_on_the_partitions(spark, ratings):
     def factors(partitions):
         before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -276,9 +299,13 @@ def test_attributions_are_shapley_values(spark, encoded):
     for r in values:
         assert sum(r[n] for n in names) + r.base_value == pytest.approx(probability[r.id])
     # Brute force: expectation with only a set of features known, over all sets.
-    nodes = explain.stored_nodes(spark, model)
-    trees = sorted(t for group in explain.tree_groups(nodes) for t in group)
-    paths, base = explain.leaf_paths(nodes, trees, len(trees))
+    stacks = explain.path_stacks(explain.stored_nodes(spark, model)).collect()
+    paths = [
+        (value, *(np.reshape(a, (len(s.value), s.depth))[i] for a in (s.feature, s.share, s.low, s.high)))
+        for s in stacks
+        for i, value in enumerate(s.value)
+    ]
+    base = sum(s.base for s in stacks)
     row = values[5]
     x = np.array(row.x)
 
