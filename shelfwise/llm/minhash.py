@@ -39,8 +39,10 @@ HASHES = BANDS * ROWS
 BITS = 2
 _LANES = 64 // BITS
 _WORDS = HASHES // _LANES
-#: Members compared with one copy of a bucket's first document; rows of a block.
+#: Members compared with one copy of a bucket's first document; rows of a block with
+#: texts, and of one that is compared by bits only, ``SLICE`` rows of it at a time.
 GROUP, BLOCK = 256, 512
+WIDE_BLOCK, SLICE = 8_192, 256
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _SHIFT = np.uint64(29)
@@ -247,16 +249,15 @@ def component_links(reps: DataFrame, docs: DataFrame, text: str, k: int, percent
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high")
     open_rows = placed_members.join(mixed, "key").where("rep <> first").select("key", "rep", "component")
-    grouped = stage(
-        block_groups(open_rows, "key", "rep", BLOCK).join(reps.select("rep", "bits", "bands"), "rep"), "open"
-    )
+    marks = reps.select("rep", "bits", "bands")
     by_bits = stage(
-        grouped.repartition("group").sortWithinPartitions("group")
-        .mapInPandas(partners(limit), "group bigint, rep bigint"),
+        block_groups(open_rows, "key", "rep", WIDE_BLOCK).join(marks, "rep")
+        .repartition("group").sortWithinPartitions("group")
+        .mapInPandas(partners(limit), "key bigint, rep bigint, component bigint"),
         "by-bits",
-    )
+    ).distinct()
     more = stage(
-        grouped.join(by_bits, ["group", "rep"]).join(texts, "rep")
+        block_groups(by_bits, "key", "rep", BLOCK).join(marks, "rep").join(texts, "rep")
         .repartition("group").sortWithinPartitions("group")
         .mapInPandas(block_links(limit, k, percent), "a bigint, b bigint"),
         "links",
@@ -264,35 +265,38 @@ def component_links(reps: DataFrame, docs: DataFrame, text: str, k: int, percent
     return connected_components(links.unionByName(more))
 
 
-def open_pairs(rows: pd.DataFrame, limit: float) -> np.ndarray:
-    """Which rows of a block may link: apart, in their first common band, similar by bits."""
+def open_pairs(rows: pd.DataFrame, limit: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Which rows of a block may link: apart, in their first common band, similar by
+    bits. Gives the first row of each slice and the slice's rows against all."""
     component, bands = rows["component"].values, np.stack(rows["bands"].to_numpy())
     bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
-    differ = np.zeros((len(rows), len(rows)), np.int64)
-    for word in bits.T:
-        x = word[:, None] ^ word[None, :]
-        differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(int("01" * _LANES, 2)))
+    alone, block = rows["alone"].iloc[0], rows["block"].values
+    band = int(np.flatnonzero(bands[0] == rows["key"].iloc[0])[0])
     chance = 2.0**-BITS
-    pairs = ((HASHES - differ) / HASHES - chance) / (1 - chance) >= limit
-    pairs &= component[:, None] != component[None, :]
-    if not rows["alone"].iloc[0]:
-        block = rows["block"].values
-        pairs &= block[:, None] != block[None, :]
-    if pairs.any():
-        band = int(np.flatnonzero(bands[0] == rows["key"].iloc[0])[0])
-        for earlier in bands[:, :band].T:
-            pairs &= earlier[:, None] != earlier[None, :]
-    return pairs
+    for start in range(0, len(rows), SLICE):
+        own = slice(start, start + SLICE)
+        differ = np.zeros((len(bits[own]), len(rows)), np.uint8)
+        for word in bits.T:
+            x = word[own, None] ^ word[None, :]
+            differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(int("01" * _LANES, 2)))
+        pairs = ((HASHES - differ.astype(np.int64)) / HASHES - chance) / (1 - chance) >= limit
+        pairs &= component[own, None] != component[None, :]
+        if not alone:
+            pairs &= block[own, None] != block[None, :]
+        if pairs.any():
+            for earlier in bands[:, :band].T:
+                pairs &= earlier[own, None] != earlier[None, :]
+        yield start, pairs
 
 
 def partners(limit: float):
     """Function over blocks: the rows that have a partner."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame | None:
-        some = open_pairs(rows, limit).any(1)
-        return rows.loc[some, ["group", "rep"]] if some.any() else None
+        some = np.concatenate([pairs.any(1) for _, pairs in open_pairs(rows, limit)])
+        return rows.loc[some, ["key", "rep", "component"]] if some.any() else None
 
-    return lambda batches: each_group(batches, work, ["group", "rep"])
+    return lambda batches: each_group(batches, work, ["key", "rep", "component"])
 
 
 def block_links(limit: float, k: int, percent: int):
@@ -312,7 +316,12 @@ def block_links(limit: float, k: int, percent: int):
 
         sets = [shingle_set(text, k, memo) for text in rows["text"]]
         component = rows["component"].values.tolist()
-        for i, j in np.argwhere(np.triu(open_pairs(rows, limit))).tolist():
+        wanted = (
+            (start + i, j)
+            for start, pairs in open_pairs(rows, limit)
+            for i, j in np.argwhere(np.triu(pairs, start + 1)).tolist()
+        )
+        for i, j in wanted:
             x, y = root(component[i]), root(component[j])
             a, b = sets[i], sets[j]
             # The smaller set bounds the intersection, the larger one the union.
