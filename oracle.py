@@ -564,4 +564,7 @@ def oracle_sql() -> dict[str, str]:
             scored=SCORED,
         ),
         "training_sample": with_txn("SELECT * FROM sample", **SAMPLE_CTES),
+        "purchase_attributions": with_txn(
+            "SELECT CUST_CODE, PROD_CODE, 0.0::DOUBLE AS residual FROM sample", **SAMPLE_CTES
+        ),
     }

@@ -14,6 +14,7 @@ from shelfwise.functions.staging import stage, stage_all
 from shelfwise.operators import (
     assemble,
     classify,
+    explain,
     hierarchy,
     labels,
     recency,
@@ -195,3 +196,25 @@ def purchase_probability(
         "item_rank", F.dense_rank().over(order)
     )
     return Purchases(scores, report, model, splits)
+
+
+@dataclass
+class Explanation:
+    """Attributions of pairs, what they leave unexplained, and their summary."""
+
+    values: DataFrame
+    residuals: DataFrame
+    summary: DataFrame
+
+
+def explain_purchases(purchases: Purchases, rows: DataFrame | None = None) -> Explanation:
+    """Attributions of a forest's probabilities; of the validation pairs unless other
+    encoded ``rows`` are given."""
+    rows = purchases.splits.valid if rows is None else rows
+    names = purchases.splits.encoder.names
+    values = stage(explain.shap_values(rows, purchases.model, names, PAIR), "attributions")
+    return Explanation(
+        values,
+        explain.residuals(values, rows, purchases.model, names, PAIR),
+        explain.shap_summary(values, names),
+    )
