@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import line_templates, url_filter
+from shelfwise.llm import url_filter
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -124,26 +124,22 @@ WITH l AS (
 k AS (
   SELECT doc_id, no, list_transform(
     string_split(trim(regexp_replace(line, '{_SPACE}', ' ', 'g'), ' '), ' '),
-    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{line_templates.VARIABLE}' ELSE t END) AS tokens FROM l),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens FROM l),
 m AS (
-  SELECT doc_id, no, len(tokens) AS n, array_to_string(tokens[1:{line_templates.DEPTH}], ' ') AS lead, tokens,
-    array_to_string(tokens, ' ') AS masked FROM k
-  WHERE len(tokens) >= {line_templates.MIN_TOKENS} AND array_to_string(tokens, ' ') <> ''),
-leaf AS (
-  SELECT n, lead FROM m GROUP BY n, lead HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCUMENTS}),
-pos AS (
-  SELECT n, lead, place, min(token) AS lo, max(token) AS hi FROM (
-    SELECT n, lead, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS place FROM m JOIN leaf USING (n, lead))
-  GROUP BY n, lead, place),
+  SELECT doc_id, no, len(tokens) AS n, (len(tokens) - 3) // 4 AS w, tokens, array_to_string(tokens, ' ') AS masked FROM k
+  WHERE replace(array_to_string(tokens, ''), '<*>', '') <> ''),
+f AS (
+  SELECT doc_id, no, n, w, tokens, unnest(list_distinct(list_append(range(3, n - w + 1, (w + 1) // 2), n - w))) AS s
+  FROM m WHERE w >= 1 AND (len(masked) - len(replace(masked, '<*>', ''))) // 3 <= w),
+e AS (
+  SELECT doc_id, no, n, s, array_to_string(tokens[1:s], ' ') AS pre, array_to_string(tokens[s + w + 1:], ' ') AS post FROM f),
+fields AS (SELECT n, s, pre, post FROM e GROUP BY ALL HAVING count(DISTINCT doc_id) >= 8),
 whole AS (
-  SELECT n, lead FROM pos GROUP BY n, lead
-  HAVING avg(CAST(lo = hi AND lo <> '{line_templates.VARIABLE}' AS INT)) >= {line_templates.CONSTANT}),
-single AS (
-  SELECT n, lead, masked FROM m JOIN leaf USING (n, lead) ANTI JOIN whole USING (n, lead)
-  GROUP BY n, lead, masked HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCUMENTS}),
+  SELECT masked, min(doc_id) AS first_id, count(DISTINCT doc_id) AS documents FROM m GROUP BY masked
+  HAVING count(DISTINCT doc_id) >= CASE WHEN min(n) >= 50 THEN 2 ELSE 8 END),
 gone AS (
-  SELECT doc_id, no FROM m SEMI JOIN whole USING (n, lead)
-  UNION SELECT doc_id, no FROM m SEMI JOIN single USING (n, lead, masked)),
+  SELECT doc_id, no FROM m JOIN whole USING (masked) WHERE documents >= 8 OR doc_id <> first_id
+  UNION SELECT doc_id, no FROM e SEMI JOIN fields USING (n, s, pre, post)),
 g AS (SELECT doc_id, list_sort(list(no)) AS nos FROM gone GROUP BY doc_id)
 SELECT d.doc_id, coalesce(len(nos), 0) AS n_dropped,
   coalesce(array_to_string(nos, ','), '') AS dropped_lines,

@@ -82,27 +82,29 @@ def taken(rows, seed=7):
     return out
 
 
-def recurring_lines(texts, min_documents=8, depth=3, min_tokens=3, constant=0.7):
-    """Numbers of the dropped lines of each text."""
-    lines = []
+def recurring_lines(texts, min_documents=8, depth=3, part=4, long=50):
+    """Numbers of the dropped lines of each text: every line is written out with each
+    field it may have, and each of these is counted over all texts."""
+    holders, lines = defaultdict(set), []
     for d, text in enumerate(texts):
         for no, line in enumerate((text or "").split("\n")):
             tokens = ["<*>" if re.search("[0-9]", t) else t for t in words(line)]
-            if len(tokens) >= min_tokens:
-                lines.append((d, no, (len(tokens), *tokens[:depth]), tuple(tokens)))
-    leaves = defaultdict(list)
-    for line in lines:
-        leaves[line[2]].append(line)
+            if not set(tokens) - {"<*>"}:
+                continue
+            rest = len(tokens) - depth
+            width = rest // part if rest > 0 else 0
+            forms = []
+            if width and sum(t == "<*>" for t in tokens) <= width:
+                last = len(tokens) - width
+                for start in {*range(depth, last + 1, (width + 1) // 2), last}:
+                    forms.append((start, *tokens[:start], *[None] * width, *tokens[start + width:]))
+            lines.append((d, no, tuple(tokens), forms))
+            for form in [tuple(tokens), *forms]:
+                holders[form].add(d)
     out = [[] for _ in texts]
-    for leaf in leaves.values():
-        if len({x[0] for x in leaf}) < min_documents:
-            continue
-        columns = list(zip(*[x[3] for x in leaf], strict=True))
-        fixed = sum(len(set(c)) == 1 and c[0] != "<*>" for c in columns)
-        single = defaultdict(set)
-        for d, _, _, tokens in leaf:
-            single[tokens].add(d)
-        for d, no, _, tokens in leaf:
-            if fixed / len(columns) >= constant or len(single[tokens]) >= min_documents:
-                out[d].append(no)
+    for d, no, tokens, forms in lines:
+        same = holders[tokens]
+        later = len(tokens) >= long and d != min(same)
+        if later or any(len(holders[f]) >= min_documents for f in [tokens, *forms]):
+            out[d].append(no)
     return [sorted(x) for x in out]

@@ -434,8 +434,46 @@ def test_line_templates(make):
         assert got[i].dropped_lines == gone, text
         kept = None if text is None else "\n".join(x for no, x in enumerate(text.split("\n")) if no not in gone)
         assert got[i].text == kept
-    templates, _ = line_templates.recurring(make(rows))
-    assert "Copyright <*> by Example Corp all rights reserved" in {r.template for r in templates.collect()}
+    templates = line_templates.recurring_templates(make(rows))
+    assert ("Copyright <*> by Example Corp all rights reserved", 15) in {tuple(r) for r in templates.collect()}
+
+
+def dropped(make, lines):
+    """Numbers of the dropped lines of documents of one text each, checked by brute force."""
+    got = {r.doc_id: r.dropped_lines for r in line_templates.drop_recurring_lines(make([(i, t, "en", "a") for i, t in enumerate(lines)])).collect()}
+    assert [got[i] for i in range(len(lines))] == brute.recurring_lines(lines)
+    return [got[i] for i in range(len(lines))]
+
+
+def test_line_fields_beside_foreign_lines(make):
+    names = [f"name{'x' * i} of{'y' * i}" for i in range(20)]
+    posts = [f"Posted in the forum by {n} under the general terms of use and with all rights" for n in names]
+    foreign = ["Posted in the spring of that year by a friend whom we had not seen since"]
+    assert len(foreign[0].split()) == len(posts[0].split()) - 1
+    foreign.append(foreign[0] + " then")
+    assert dropped(make, posts + foreign) == [[0]] * 20 + [[], []]
+    templates = {r.template: r.n_documents for r in line_templates.recurring_templates(make([(i, t, "en", "a") for i, t in enumerate(posts)])).collect()}
+    assert templates["Posted in the forum by <*> the general terms of use and with all rights"] == 20
+
+
+def test_line_leads_prove_nothing(make):
+    nouns = [f"thing{'s' * i}" for i in range(12)]
+    assert dropped(make, [f"This is a {n}" for n in nouns]) == [[]] * 12
+    assert dropped(make, [f"This is a {n} and {n} is not {n}" for n in nouns]) == [[]] * 12
+
+
+def test_short_and_long_lines_recur(make):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    texts = ["Read more\nown a", *["Read more"] * 7, f"12 7\n{long}", f"{long}\n{long}\nrest", *["12 7\n\n3"] * 9, "Read  more\nx"]
+    gone = dropped(make, texts)
+    assert gone[0] == [0] and gone[7] == [0] and gone[-1] == [0]
+    assert gone[8] == [] and gone[9] == [0, 1] and gone[10:19] == [[]] * 9
+
+
+def test_many_tokens_in_one_line(make):
+    line = " ".join(["alpha", "beta", "gamma", *[f"w{chr(97 + i % 26)}" for i in range(20_000)]])
+    changed = [line.replace(" wb wc", f" {'q' * (i + 1)} wc", 1) for i in range(9)]
+    assert dropped(make, [*changed, line + " 1", None, ""]) == [[0]] * 9 + [[], [], []]
 
 
 def test_empty_tables(make, ranks):
