@@ -249,15 +249,15 @@ def component_links(reps: DataFrame, docs: DataFrame, text: str, k: int, percent
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high")
     open_rows = placed_members.join(mixed, "key").where("rep <> first").select("key", "rep", "component")
-    marks = reps.select("rep", "bits", "bands")
+    marks = reps.select("rep", "n_shingles", "bits", "bands")
     by_bits = stage(
         block_groups(open_rows, "key", "rep", WIDE_BLOCK).join(marks, "rep")
         .repartition("group").sortWithinPartitions("group")
-        .mapInPandas(partners(limit), "key bigint, rep bigint, component bigint"),
+        .mapInPandas(partners(limit, percent), f"{', '.join(f'{c} bigint' for c in _OPEN)}, bits array<bigint>, bands array<bigint>"),
         "by-bits",
-    ).distinct()
+    ).dropDuplicates(["key", "rep"])
     more = stage(
-        block_groups(by_bits, "key", "rep", BLOCK).join(marks, "rep").join(texts, "rep")
+        block_groups(by_bits, "key", "rep", BLOCK).join(texts, "rep")
         .repartition("group").sortWithinPartitions("group")
         .mapInPandas(block_links(limit, k, percent), "a bigint, b bigint"),
         "links",
@@ -265,9 +265,15 @@ def component_links(reps: DataFrame, docs: DataFrame, text: str, k: int, percent
     return connected_components(links.unionByName(more))
 
 
-def open_pairs(rows: pd.DataFrame, limit: float) -> Iterator[tuple[int, np.ndarray]]:
-    """Which rows of a block may link: apart, in their first common band, similar by
-    bits. Gives the first row of each slice and the slice's rows against all."""
+#: Numbers that come out of the comparison by bits with each row, besides its marks.
+_OPEN = ["key", "rep", "component", "n_shingles"]
+
+
+def open_pairs(rows: pd.DataFrame, limit: float, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Which rows of a block may link: apart, in their first common band, of sizes that
+    allow the similarity, and similar by bits. Gives the first row of each slice and the
+    slice's rows against all."""
+    size = rows["n_shingles"].values
     component, bands = rows["component"].values, np.stack(rows["bands"].to_numpy())
     bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
     alone, block = rows["alone"].iloc[0], rows["block"].values
@@ -281,6 +287,8 @@ def open_pairs(rows: pd.DataFrame, limit: float) -> Iterator[tuple[int, np.ndarr
             differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(int("01" * _LANES, 2)))
         pairs = ((HASHES - differ.astype(np.int64)) / HASHES - chance) / (1 - chance) >= limit
         pairs &= component[own, None] != component[None, :]
+        # The smaller set bounds the intersection, the larger one the union.
+        pairs &= 100 * np.minimum.outer(size[own], size) >= percent * np.maximum.outer(size[own], size)
         if not alone:
             pairs &= block[own, None] != block[None, :]
         if pairs.any():
@@ -289,14 +297,15 @@ def open_pairs(rows: pd.DataFrame, limit: float) -> Iterator[tuple[int, np.ndarr
         yield start, pairs
 
 
-def partners(limit: float):
-    """Function over blocks: the rows that have a partner."""
+def partners(limit: float, percent: int):
+    """Function over blocks: the rows that have a partner, with their marks."""
+    columns = [*_OPEN, "bits", "bands"]
 
     def work(rows: pd.DataFrame) -> pd.DataFrame | None:
-        some = np.concatenate([pairs.any(1) for _, pairs in open_pairs(rows, limit)])
-        return rows.loc[some, ["key", "rep", "component"]] if some.any() else None
+        some = np.concatenate([pairs.any(1) for _, pairs in open_pairs(rows, limit, percent)])
+        return rows.loc[some, columns] if some.any() else None
 
-    return lambda batches: each_group(batches, work, ["key", "rep", "component"])
+    return lambda batches: (found for found in each_group(batches, work, columns) if len(found))
 
 
 def block_links(limit: float, k: int, percent: int):
@@ -318,7 +327,7 @@ def block_links(limit: float, k: int, percent: int):
         component = rows["component"].values.tolist()
         wanted = (
             (start + i, j)
-            for start, pairs in open_pairs(rows, limit)
+            for start, pairs in open_pairs(rows, limit, percent)
             for i, j in np.argwhere(np.triu(pairs, start + 1)).tolist()
         )
         for i, j in wanted:
@@ -379,7 +388,9 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, shingle_words: int
         signed.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("rep")), "classes"
     )
     reps = stage(
-        signed.join(classes.select("rep"), F.col("row") == F.col("rep")).select("rep", FILE, POSITION, "bands", "bits"),
+        signed.join(classes.select("rep"), F.col("row") == F.col("rep")).select(
+            "rep", FILE, POSITION, "n_shingles", "bands", "bits"
+        ),
         "reps",
     )
     found = component_links(reps, docs, text, shingle_words, percent)
