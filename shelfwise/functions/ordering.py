@@ -125,7 +125,9 @@ def hash_rank(
     inside = Window.partitionBy(*groups, "slot").orderBy("digest", *keys)
     return (
         hashed.withColumn("inside", F.row_number().over(inside) - 1)
-        .join(starts, [*groups, "slot"])
+        # Rows lie by group and slot already. A table that is small as stored may hold too
+        # many rows to be sent to every task, so the planner is not left to go by its bytes.
+        .join(starts.hint("merge"), [*groups, "slot"])
         .select(*df.columns, (F.col("start") + F.col("inside")).alias(rank))
     )
 
