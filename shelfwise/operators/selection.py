@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from shelfwise.functions.staging import dealt_by_rows
 from shelfwise.operators.classify import FEATURES, evaluator
 from shelfwise.operators.labels import TARGET
 from shelfwise.operators.profile import correlation_matrix
@@ -86,7 +87,7 @@ def rfe_cv(
     """Recursive elimination: the number of features with the best mean fold
     score, and the features that stay at that number. One row per feature."""
     p = len(names)
-    dealt = stratified_folds(df, list(keys), TARGET, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = dealt_by_rows(stratified_folds(df, list(keys), TARGET, folds, seed), keys).persist(StorageLevel.MEMORY_AND_DISK)
     scores = np.zeros(p + 1)
     for fold in range(folds):
         train, test = dealt.where(F.col("fold") != fold), dealt.where(F.col("fold") == fold)

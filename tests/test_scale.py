@@ -19,6 +19,18 @@ def pairs(spark):
     return staging.stage(spark.createDataFrame(rows, "CUST_CODE string, PROD_CODE string, TARGET int"), "pairs")
 
 
+def test_class_weights_do_not_deal_rows_by_label(spark, pairs):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    try:
+        weighted = classify.class_weights(pairs)
+        assert "SortMergeJoin" not in plan(weighted)
+        assert {(r.TARGET, r.weight) for r in weighted.collect()} == {(1, 2.0), (0, 200 / 300)}
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_sampling_does_not_send_small_stored_pairs_to_every_task(pairs):
     drawn = sampling.sample_non_target(pairs)
     assert "SortMergeJoin" in plan(drawn)
