@@ -1,12 +1,13 @@
 """Plans and parts that must not go by the stored bytes of a table or by few keys."""
 
+import threading
 from collections import Counter
 
 import pytest
 
 from shelfwise.functions import staging
 from shelfwise.functions.ordering import hash_rank
-from shelfwise.operators import classify, labels, sampling
+from shelfwise.operators import classify, labels, recommend, sampling
 
 
 def plan(df):
@@ -53,3 +54,18 @@ def test_pair_table_and_training_rows_come_in_parts_by_rows(spark, pairs, monkey
     assert table.exceptAll(pairs).count() == 0 and table.count() == 200
     dealt = staging.dealt_by_rows(pairs, ["CUST_CODE", "PROD_CODE"])
     assert dealt.rdd.getNumPartitions() == 10 and dealt.exceptAll(pairs).count() == 0
+
+
+def test_trials_of_a_search_run_side_by_side(spark, monkeypatch):
+    barrier = threading.Barrier(3)
+
+    def fit(train, *settings):
+        barrier.wait(timeout=60)
+        return settings
+
+    errors = spark.createDataFrame([("train", 1, 0.5), ("test", 1, 0.25)], "split string, n long, mse double")
+    monkeypatch.setattr(recommend, "fit_als", fit)
+    monkeypatch.setattr(recommend, "als_mse", lambda *_: errors)
+    rows = spark.createDataFrame([(0, 0, 1.0)], "index_CUST_CODE long, index_PROD_CODE long, QUANTITY double")
+    found = recommend.tune_als(rows, rows, 3)
+    assert [r.iteration for r in found.trials.collect()] == [1, 2, 3]
