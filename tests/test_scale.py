@@ -7,7 +7,7 @@ import pytest
 
 from shelfwise.functions import staging
 from shelfwise.functions.ordering import hash_rank
-from shelfwise.operators import classify, labels, recommend, sampling
+from shelfwise.operators import classify, labels, recommend, sampling, segments
 
 
 def plan(df):
@@ -69,3 +69,21 @@ def test_trials_of_a_search_run_side_by_side(spark, monkeypatch):
     rows = spark.createDataFrame([(0, 0, 1.0)], "index_CUST_CODE long, index_PROD_CODE long, QUANTITY double")
     found = recommend.tune_als(rows, rows, 3)
     assert [r.iteration for r in found.trials.collect()] == [1, 2, 3]
+
+
+def test_segment_profile_comes_in_parts_by_rows_with_mixed_and_null_baskets(make_lines, monkeypatch):
+    monkeypatch.setattr(staging, "PART_ROWS", 1)
+    rows = [
+        {"BASKET_ID": 1, "STORE_FORMAT": "LS", "SPEND": "1.00"},
+        {"BASKET_ID": 1, "STORE_FORMAT": "MS", "SPEND": "2.00"},
+        {"BASKET_ID": 1, "STORE_FORMAT": "MS", "SPEND": "4.00", "BASKET_TYPE": "XX"},
+        {"BASKET_ID": 2, "STORE_FORMAT": "LS", "SPEND": "8.00"},
+        {"BASKET_ID": None, "STORE_FORMAT": "LS", "SPEND": "16.00"},
+        {"BASKET_ID": 3, "STORE_FORMAT": None, "SPEND": "32.00"},
+    ]
+    found = segments.seg_summary(make_lines(rows), "CUST_CODE", ["STORE_FORMAT", "BASKET_TYPE"])
+    assert found.rdd.getNumPartitions() == 6
+    (row,) = found.collect()
+    got = {m: [row[f"STORE_FORMAT_{m}_CUST_CODE_{v}"] for v in ("LS", "MS")] for m in ("SPEND", "VISITS", "PROP_VISITS")}
+    assert got == {"SPEND": [25.0, 6.0], "VISITS": [2.0, 1.0], "PROP_VISITS": [2 / 3, 1 / 3]}
+    assert row["BASKET_TYPE_VISITS_CUST_CODE_Top Up"] == 3.0 and row["BASKET_TYPE_VISITS_CUST_CODE_XX"] == 1.0
