@@ -7,7 +7,7 @@ import pytest
 
 from shelfwise.functions import staging
 from shelfwise.functions.ordering import hash_rank
-from shelfwise.operators import classify, labels, recommend, sampling, segments
+from shelfwise.operators import classify, hierarchy, labels, recommend, sampling, segments
 
 
 def plan(df):
@@ -87,3 +87,13 @@ def test_segment_profile_comes_in_parts_by_rows_with_mixed_and_null_baskets(make
     got = {m: [row[f"STORE_FORMAT_{m}_CUST_CODE_{v}"] for v in ("LS", "MS")] for m in ("SPEND", "VISITS", "PROP_VISITS")}
     assert got == {"SPEND": [25.0, 6.0], "VISITS": [2.0, 1.0], "PROP_VISITS": [2 / 3, 1 / 3]}
     assert row["BASKET_TYPE_VISITS_CUST_CODE_Top Up"] == 3.0 and row["BASKET_TYPE_VISITS_CUST_CODE_XX"] == 1.0
+
+
+def test_summary_comes_in_parts_by_stacked_rows(make_lines, monkeypatch):
+    monkeypatch.setattr(staging, "PART_ROWS", 1)
+    rows = make_lines([{"BASKET_ID": b, "SPEND": "2.00"} for b in (1, 1, 2)])
+    levels = ["PROD_CODE", "PROD_CODE_10"]
+    found = hierarchy.sp_vi_qu(rows, labels.hierarchy_map(rows, levels), [200701], ["1y"], levels)
+    assert found.rdd.getNumPartitions() == 8  # 3 lines at 2 levels, up to a multiple of the 4 buckets
+    (row,) = found.collect()
+    assert (row.SPEND_PROD_CODE_1y, row.VISITS_PROD_CODE_10_1y) == (6.0, 2)
