@@ -340,3 +340,28 @@ def test_attribution_tables(encoded):
     assert dependence[some.id].feature_value == some.features[names.index("a")]
     importance = selection.rf_importance(df, names, small_forest, 3)
     assert explain.top_features(importance, 1) == ["a"]
+
+
+def test_paths_are_explained_by_pattern_and_values_no_bound_compares_with_go_right(monkeypatch):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(3000, 3))
+    x[7, 1] = np.nan
+    tests = [(0, 0.4, -np.inf, 0.2), (1, 0.5, -0.1, np.inf), (2, 0.7, -0.5, 0.5)]
+    stacks = [(3, [2.0], *map(list, zip(*tests, strict=True)))]
+    sizes, table = [], explain.pattern_table
+    monkeypatch.setattr(explain, "pattern_table", lambda *a: sizes.append(a[2].shape[1]) or table(*a))
+    found = explain.attribute(x, stacks)
+    assert sizes == [8]
+
+    def expected(row, known):
+        value = 2.0
+        for f, share, low, high in tests:
+            follows = high == np.inf if np.isnan(row[f]) else low < row[f] <= high
+            value *= follows if f in known else share
+        return value
+
+    for i in (0, 1, 2, 7):
+        for f, others in ((0, (1, 2)), (1, (0, 2)), (2, (0, 1))):
+            sets = [(set(), 2), ({others[0]}, 1), ({others[1]}, 1), ({*others}, 2)]
+            phi = sum(w * (expected(x[i], {*known, f}) - expected(x[i], known)) for known, w in sets) / 6
+            assert found[i, f] == pytest.approx(phi)
