@@ -7,7 +7,7 @@ import pytest
 
 from shelfwise.functions import staging
 from shelfwise.functions.ordering import hash_rank
-from shelfwise.operators import classify, hierarchy, labels, recommend, sampling, segments
+from shelfwise.operators import classify, explain, hierarchy, labels, recommend, sampling, segments
 
 
 def plan(df):
@@ -97,3 +97,17 @@ def test_summary_comes_in_parts_by_stacked_rows(make_lines, monkeypatch):
     assert found.rdd.getNumPartitions() == 8  # 3 lines at 2 levels, up to a multiple of the 4 buckets
     (row,) = found.collect()
     assert (row.SPEND_PROD_CODE_1y, row.VISITS_PROD_CODE_10_1y) == (6.0, 2)
+
+
+def test_a_small_forest_is_carried_to_the_rows(spark):
+    rows = [(i, float(i % 7), float(i % 5), int(i % 7 > 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, TARGET int")
+    df = classify.class_weights(classify.fit_encoder(df, ["id"], ["a", "b"]).vectors(df))
+    df = staging.stage(df, "encoded")
+    model = classify.forest(df, n_estimators=2, max_depth=2).fit(df)
+    values = explain.shap_values(df, model, ["a", "b"], ["id"])
+    assert "Exchange" not in plan(values) and values.count() == 60
+    summary = explain.shap_summary(values, ["a", "b"])
+    means = {n: sum(abs(r[n]) for r in values.collect()) / 60 for n in ("a", "b")}
+    assert {r.features: r.mean_abs_shap for r in summary.collect()} == pytest.approx(means)
+    assert explain.shap_summary(values.limit(0), ["a", "b"]).count() == 0
