@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,9 @@ by_value(__name__)
 MIN_DOCUMENTS, PRIOR, SCALE = 30, 5, 1_000_000_000
 #: Ranks of the term part.
 TOP_TERMS = 50
-#: Counts that a task holds before it hands them on; cells of a block of shares.
-HELD_TERMS, BLOCK_CELLS = 400_000, 1 << 16
+#: Terms, and uses of a term by a document, that a task holds before it hands on its
+#: counts; cells of a block of shares.
+HELD_TERMS, HELD_USES, BLOCK_CELLS = 400_000, 3_000_000, 1 << 16
 
 #: Bytes of UTF-8 that belong to a term, A-Z in lower case; every other byte is a space.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -37,7 +39,19 @@ _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 el
 
 def terms_of(text: str) -> list[bytes]:
     """Runs of letters A-Z, in lower case, and of characters outside ASCII."""
-    return text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+    return split_terms(text.encode("utf-8", "surrogatepass"))
+
+
+def split_terms(text: bytes) -> list[bytes]:
+    return text.translate(_LETTERS).split()
+
+
+class Numbers(dict):
+    """Terms numbered as they are met."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self)
+        return number
 
 
 def digest(term: bytes) -> int:
@@ -58,34 +72,57 @@ def term_counts(docs: DataFrame, text: str, lang: str, source: str, digest: Call
     in a source of a language, and of kind ``terms`` with ``n``, the documents of a
     language, and the term itself."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        uses: dict[tuple[str, str], Counter] = {}
-        documents: dict[str, Counter] = {}
-
-        def rows() -> Iterator[pd.DataFrame]:
-            digests = {term: digest(term) for words in documents.values() for term in words}
-            for (lang, source), words in uses.items():
-                yield frame(
-                    kind="uses", lang=lang, source=source, digest=[digests[t] for t in words], term=None, n=list(words.values())
-                )
-            for lang, words in documents.items():
-                yield frame(
-                    kind="terms", lang=lang, source=None, digest=[digests[t] for t in words],
-                    term=[t.decode("utf-8", "surrogatepass") for t in words], n=list(words.values()),
-                )
+    def totals(numbers: list[np.ndarray], times: list[np.ndarray] | None, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers met and the sum of their times (or of ones)."""
+        numbers = np.concatenate(numbers)
+        times = None if times is None else np.concatenate(times)
+        met, at = None, numbers
+        if len(numbers) < size // 8:
+            met, at = np.unique(numbers, return_inverse=True)
+        # Sums of whole numbers, far below 2^53.
+        sums = np.bincount(at, times).astype(np.int64)
+        if met is None:
+            met = np.flatnonzero(sums)
+            sums = sums[met]
+        return met, sums
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = Numbers(), 0
+        uses: dict[tuple[str, str], tuple[list, list]] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            digests = np.fromiter(map(digest, known), np.int64, len(known))
+            # Of bytes that are UTF-8, none was taken out of a character.
+            terms = pa.array(known, pa.binary(), size=len(known)).cast(pa.string())
+            documents: dict[str, list] = {}
+            for (lang, source), (numbers, times) in uses.items():
+                documents.setdefault(lang, []).extend(numbers)
+                met, n = totals(numbers, times, len(known))
+                yield batch("uses", lang, source, digests[met], pa.nulls(len(met), pa.string()), n)
+            for lang, numbers in documents.items():
+                met, n = totals(numbers, None, len(known))
+                yield batch("terms", lang, None, digests[met], terms.take(pa.array(met)), n)
+            known.clear()
             uses.clear()
-            documents.clear()
 
-        for pdf in batches:
-            for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"], strict=True):
-                found = terms_of(text)
-                uses.setdefault((lang, source), Counter()).update(found)
-                documents.setdefault(lang, Counter()).update(set(found))
-            if sum(map(len, uses.values())) + sum(map(len, documents.values())) > HELD_TERMS:
-                yield from rows()
+        def batch(kind: str, lang: str, source: str | None, digests: np.ndarray, terms: pa.Array, n: np.ndarray):
+            words = [pa.repeat(pa.scalar(v, pa.string()), len(n)) for v in (kind, lang, source)]
+            columns = [*words, pa.array(digests), terms, pa.array(n)]
+            return pa.RecordBatch.from_arrays(columns, ["kind", "lang", "source", "digest", "term", "n"])
+
+        for documents in batches:
+            for lang, source, text in zip(*[documents.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
+                found = Counter(split_terms(text))
+                numbers, times = uses.setdefault((lang, source), ([], []))
+                numbers.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
+                times.append(np.fromiter(found.values(), np.int32, len(found)))
+                held += len(found) + 32  # the arrays themselves
+                if len(known) > HELD_TERMS or held > HELD_USES:
+                    yield from rows()
+                    held = 0
         yield from rows()
 
-    return _filled(docs, lang, source, text).mapInPandas(
+    return _filled(docs, lang, source, text).withColumn("text", F.col("text").cast("binary")).mapInArrow(
         count, "kind string, lang string, source string, digest bigint, term string, n bigint"
     )
 
@@ -174,7 +211,8 @@ def _audit(docs, text, lang, source, min_documents, top_terms, digest) -> DataFr
     # ``split`` is the text of a term whose digest is shared, else empty.
     key = ["lang", "digest", "split"]
     entries = (
-        uses.select("lang", "source", "digest", "n").join(likely, ["lang", "digest"], "left_semi")
+        # Both sides are dealt evenly by digest; the uses need no order to be summed.
+        uses.select("lang", "source", "digest", "n").join(likely.hint("shuffle_hash"), ["lang", "digest"], "left_semi")
         .groupBy("lang", "digest", "source").agg(F.sum("n").alias("n"))
         .select("source", "lang", "digest", F.lit("").alias("split"), "n")
     )

@@ -99,6 +99,20 @@ def test_audit_blocks_and_flushes(make, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(plain_audit(rows, 3))
 
 
+def test_terms_are_held_once_for_all_sources(make, monkeypatch):
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(10)]
+    rows = [(i, " ".join(words), "en", f"s{i}") for i in range(30)]
+    docs = make(rows).coalesce(1)
+    monkeypatch.setattr(divergence, "HELD_TERMS", 100)
+    counts = divergence.term_counts(docs, "text", "lang", "source", divergence.digest)
+    assert counts.where("kind = 'uses'").count() == 30 * 60
+    assert {(r.term, r.n) for r in counts.where("kind = 'terms'").collect()} == {(w, 30) for w in words}
+    monkeypatch.setattr(divergence, "HELD_USES", 200)
+    again = divergence.term_counts(docs, "text", "lang", "source", divergence.digest).where("kind = 'terms'")
+    assert again.count() > 60 and again.groupBy("term").sum("n").where("`sum(n)` <> 30").isEmpty()
+
+
+
 def test_shares_are_exact(spark):
     count, total, terms = 3 * 10**15 + 1, 7 * 10**15, 10**7
     row = spark.range(1).select(
