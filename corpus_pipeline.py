@@ -12,6 +12,11 @@ from shelfwise.llm.queries import RANKS
 from shelfwise.llm.tables import filed, fresh, keep_rows, read
 
 
+#: Keys that a task of the last stage remembers. Its workers live beside executors whose
+#: heap the earlier stages have filled.
+REMEMBERED = 40_000
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in no language: null, empty or without a letter, whether or not
     any document is labelled."""
@@ -43,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and the digests that prove the round trip."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path(RANKS))
-    return byte_bpe.token_digests(docs, ranks, public_tokenizers.PATTERN)
+    return byte_bpe.token_digests(docs, ranks, public_tokenizers.PATTERN, memo=REMEMBERED)
 
 
 STAGES = [

@@ -31,6 +31,9 @@ _STEP = 0x9E3779B97F4A7C15
 #: Keys of a generation of a task's memory, and their greatest length.
 MEMO_ENTRIES, MEMO_BYTES = 150_000, 64
 
+#: Characters of the texts whose ids and bytes are handed on together.
+SLICE_CHARS = 4_000_000
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Rank file: a base64 token and its rank per line."""
@@ -100,19 +103,19 @@ def perfect_hash(ranks: dict[bytes, int]) -> PerfectHash:
 
 
 class Memo(dict):
-    """Values of ``make``, in two generations of at most ``MEMO_ENTRIES`` keys: when
-    the young one is full it becomes the old one, and what is used again comes back."""
+    """Values of ``make``, in two generations of at most ``entries`` keys: when the
+    young one is full it becomes the old one, and what is used again comes back."""
 
-    def __init__(self):
+    def __init__(self, entries: int | None = None):
         super().__init__()
-        self.old: dict = {}
+        self.entries, self.old = entries or MEMO_ENTRIES, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= MEMO_BYTES:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
@@ -169,8 +172,8 @@ class Words(Memo):
     The perfect hash answers for whole pre-tokens; the heap asks for the ranks of many
     short parts, most of which are no tokens, in a plain table."""
 
-    def __init__(self, table: PerfectHash):
-        super().__init__()
+    def __init__(self, table: PerfectHash, entries: int | None = None):
+        super().__init__(entries)
         self.rank, self.ranks = table.rank, dict(zip(table.keys, table.ranks, strict=True))
         self.packed = {r: r.to_bytes(4, "little") for r in table.ranks}
 
@@ -190,9 +193,9 @@ class Encoder(Memo):
     space, and the parts, most of which recur, are split and encoded alone.
     """
 
-    def __init__(self, table: PerfectHash, pattern: str):
-        super().__init__()
-        self.words, self.split = Words(table), regex.compile(pattern).findall
+    def __init__(self, table: PerfectHash, pattern: str, entries: int | None = None):
+        super().__init__(entries)
+        self.words, self.split = Words(table, entries), regex.compile(pattern).findall
         self.run = regex.compile(r" \s").search
 
     def make(self, part: str) -> bytes:
@@ -215,6 +218,7 @@ def tokenize(
     text: str = "text",
     ids: str = "ids",
     decoded: str = "decoded",
+    memo: int | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` with the token ids, packed as little-endian
     unsigned 32-bit integers, and the bytes that they decode to.
@@ -223,23 +227,28 @@ def tokenize(
     is encoded separately; there are no special tokens. ``pattern`` must hold a
     space only as the first character of a match or among other white space. The tables that go to the
     executors are as large as the vocabulary. ``ids`` and ``decoded`` replace
-    columns of that name, in any case. Rows are independent of one another.
+    columns of that name, in any case. Rows are independent of one another. ``memo``,
+    else ``MEMO_ENTRIES``, bounds what a task remembers and changes no result.
     """
     table = docs.sparkSession.sparkContext.broadcast(tuple(perfect_hash(ranks)))
 
     @F.pandas_udf(f"{ids} binary, {decoded} binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashed = PerfectHash(*table.value)
-        encoder = Encoder(hashed, pattern)
+        encoder = Encoder(hashed, pattern, memo)
         by_rank = [b""] * (max(hashed.ranks, default=-1) + 1)
         for key, rank in zip(hashed.keys, hashed.ranks, strict=True):
             by_rank[rank] = key
         for texts in batches:
-            packed, plain = [], []
+            packed, plain, held = [], [], 0
             for value in texts:
                 data = encoder.encode(value) if value else b""
                 packed.append(data)
                 plain.append(b"".join(map(by_rank.__getitem__, np.frombuffer(data, "<u4").tolist())))
+                held += len(value or "")
+                if held > SLICE_CHARS:
+                    yield pd.DataFrame({ids: packed, decoded: plain})
+                    packed, plain, held = [], [], 0
             yield pd.DataFrame({ids: packed, decoded: plain})
 
     coded = encode(quoted(text).cast("string"))
@@ -252,10 +261,16 @@ def tokenize(
 
 
 def token_digests(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    memo: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each document."""
-    coded = tokenize(docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")), ranks, pattern)
+    texts = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
+    coded = tokenize(texts, ranks, pattern, memo=memo)
     return coded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),

@@ -512,3 +512,12 @@ def test_lines_keep_clashing_columns(spark):
     got = line_templates.drop_recurring_lines(docs)
     assert got.columns == ["text", "gone__", "gone", "gone_file", "gone_position", "dropped_lines"]
     assert {tuple(r[:5]) for r in got.collect()} == {("", "a", "b", "c", "e")}
+
+
+def test_ids_are_handed_on_in_slices_and_a_small_memo_changes_nothing(make, monkeypatch):
+    rows = [(i, f"word{i % 7} and  some {'x' * (i % 5)} more", "en", "s") for i in range(60)] + [(60, None, "en", "s")]
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    whole = {tuple(r) for r in byte_bpe.token_digests(make(rows), ranks, public_tokenizers.PATTERN).collect()}
+    monkeypatch.setattr(byte_bpe, "SLICE_CHARS", 50)
+    found = byte_bpe.token_digests(make(rows), ranks, public_tokenizers.PATTERN, memo=3).collect()
+    assert len(found) == 61 and {tuple(r) for r in found} == whole
