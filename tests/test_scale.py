@@ -111,3 +111,21 @@ def test_a_small_forest_is_carried_to_the_rows(spark):
     means = {n: sum(abs(r[n]) for r in values.collect()) / 60 for n in ("a", "b")}
     assert {r.features: r.mean_abs_shap for r in summary.collect()} == pytest.approx(means)
     assert explain.shap_summary(values.limit(0), ["a", "b"]).count() == 0
+
+
+def test_gaps_are_stacked_behind_one_exchange_by_customer(make_lines, monkeypatch):
+    from shelfwise.operators import recency
+
+    rows = make_lines(
+        [{"CUST_CODE": u, "SHOP_DATE": d} for u in ("U1", "U2") for d in (20080301, 20080301, 20080304, 20080305)]
+    )
+    levels = ["PROD_CODE", "PROD_CODE_10"]
+    want = {(u, c, (3, 1)) for u in ("U1", "U2") for c in ("P1", "C1")}
+    for part_rows in (250_000, 1):  # a customer with more lines than a part: made distinct before
+        monkeypatch.setattr(staging, "PART_ROWS", part_rows)
+        gaps, parts = recency.purchase_gaps(rows, levels)
+        assert {(r.CUST_CODE, r.code, tuple(r.gaps)) for r in gaps.collect()} == want
+        counted = plan(gaps.groupBy("CUST_CODE", "lvl", "code").count())
+        assert "Exchange" not in counted and parts == (16 if part_rows == 1 else 4)
+    found = recency.time_last_purchased(rows, labels.hierarchy_map(rows, levels), levels)
+    assert {tuple(r)[2:] for r in found.collect()} == {(2.0, 2.0, 1) * 2}
