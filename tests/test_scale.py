@@ -129,3 +129,30 @@ def test_gaps_are_stacked_behind_one_exchange_by_customer(make_lines, monkeypatc
         assert "Exchange" not in counted and parts == (16 if part_rows == 1 else 4)
     found = recency.time_last_purchased(rows, labels.hierarchy_map(rows, levels), levels)
     assert {tuple(r)[2:] for r in found.collect()} == {(2.0, 2.0, 1) * 2}
+
+
+def test_segment_profile_of_ordinary_keys_is_exchanged_once(make_lines):
+    rows = [{"CUST_CODE": f"U{i % 3}", "BASKET_ID": i, "STORE_FORMAT": "LS"} for i in range(12)]
+    found = segments.seg_summary(make_lines(rows), "CUST_CODE", ["STORE_FORMAT"])
+    assert plan(found).count("Exchange") == 1
+    assert {(r.CUST_CODE, r.STORE_FORMAT_VISITS_CUST_CODE_LS) for r in found.collect()} == {(f"U{i}", 4.0) for i in range(3)}
+
+
+def test_summary_and_gaps_of_wanted_pairs_take_in_needed_codes_only(make_lines, random_lines, monkeypatch):
+    from shelfwise.operators import recency
+
+    rows = make_lines(random_lines())
+    levels = ["PROD_CODE", "PROD_CODE_10", "PROD_CODE_20"]
+    products = labels.hierarchy_map(rows, levels)
+    wanted = rows.select("CUST_CODE", "PROD_CODE").where("PROD_CODE IN ('P0', 'P5')").distinct()
+    for make in (
+        lambda w: hierarchy.sp_vi_qu(rows, products, [200801, 200805], ["l", "s"], levels, w),
+        lambda w: recency.time_last_purchased(rows, products, levels, w),
+    ):
+        want = make(None).where("PROD_CODE IN ('P0', 'P5')").collect()
+        for part_rows in (250_000, 1):
+            monkeypatch.setattr(staging, "PART_ROWS", part_rows)
+            found = make(wanted)
+            assert "array_contains" in plan(found)
+            assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want)) and want
+        monkeypatch.undo()
