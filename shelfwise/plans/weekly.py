@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import columns_like, replace_inf
-from shelfwise.functions.staging import stage, stage_all
+from shelfwise.functions.staging import dealt_by_rows, stage, stage_all
 from shelfwise.operators import (
     assemble,
     classify,
@@ -133,6 +133,8 @@ def feature_table(
         transactions, sides[0], sides[1], windows.obs_start, windows.obs_end
     )
     tables = feature_tables(restricted, windows)
+    # Few bytes as stored become wide rows: the pairs are dealt by their number.
+    pairs = dealt_by_rows(pairs, PAIR)
     return replace_inf(merge_all(pairs, tables, user_factors, item_factors, side="IN_TEST"))
 
 

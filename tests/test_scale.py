@@ -2,6 +2,7 @@
 
 import threading
 from collections import Counter
+from unittest.mock import Mock
 
 import pytest
 
@@ -156,3 +157,17 @@ def test_summary_and_gaps_of_wanted_pairs_take_in_needed_codes_only(make_lines,
             assert "array_contains" in plan(found)
             assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want)) and want
         monkeypatch.undo()
+
+
+def test_chains_read_staged_baskets(spark, monkeypatch):
+    import catalog
+
+    seen = []
+
+    def chain(rows, *_):
+        seen.append(rows)
+        return Mock(scores=rows)
+
+    monkeypatch.setattr(catalog.weekly, "purchase_probability", chain)
+    catalog.purchase_probability(spark, "/root/testdata/sf0.001")
+    assert "Join" not in plan(seen[0]) and seen[0].count() == 6000
