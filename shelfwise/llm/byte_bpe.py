@@ -28,8 +28,11 @@ by_value(__name__)
 _WORD = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 
-#: Keys of a generation of a task's memory, and their greatest length.
-MEMO_ENTRIES, MEMO_BYTES = 150_000, 64
+#: Pre-tokens of a generation of a task's memory, and their greatest length.
+MEMO_ENTRIES, MEMO_BYTES = 300_000, 64
+
+#: Bits of a place in a pre-token, below the rank in the number that names a pair.
+PLACE_BITS = 32
 
 #: Characters of the texts whose ids and bytes are handed on together.
 SLICE_CHARS = 4_000_000
@@ -122,93 +125,79 @@ class Memo(dict):
         return value
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of a pre-token that is not a token itself.
+class Merger:
+    """Token ids of pre-tokens that are no tokens themselves, as little-endian 32-bit integers.
 
-    Parts are named by their first byte; ``stop`` is where a part ends (and the
-    next begins), 0 for a part that has been merged into its left neighbour. The
-    heap holds ``rank, start, end`` of pairs as one number; a pair is out of date
-    if one of its parts has changed.
+    Parts are named by their first byte; ``stop`` is where a part ends and the next
+    begins, ``before`` where the previous one begins. A pair that forms a token is one
+    number, its rank above the place of its left part. The heap holds such numbers;
+    ``pair`` has the one of today for each place, so a number that differs from it is
+    out of date. Ranks of the many short parts are asked for in plain tables.
     """
-    n = len(piece)
-    base, rank_of = n + 1, ranks.get
-    stop, before = list(range(1, n + 1)), list(range(-1, n))
-    heap = []
-    for start in range(n - 1):
-        rank = rank_of(piece[start : start + 2], -1)
-        if rank >= 0:
-            heap.append((rank * base + start) * base + start + 2)
-    heapq.heapify(heap)
-    pop, push = heapq.heappop, heapq.heappush
-    while heap:
-        rest, end = divmod(pop(heap), base)
-        start = rest % base
-        right = stop[start]
-        if not right or right == n or stop[right] != end:
-            continue
-        stop[right] = 0
-        stop[start] = end
-        if end < n:
-            before[end] = start
-            far = stop[end]
-            rank = rank_of(piece[start:far], -1)
-            if rank >= 0:
-                push(heap, (rank * base + start) * base + far)
-        left = before[start]
-        if left >= 0:
-            rank = rank_of(piece[left:end], -1)
-            if rank >= 0:
-                push(heap, (rank * base + left) * base + end)
-    ids, start = [], 0
-    while start < n:
-        ids.append(ranks[piece[start : stop[start]]])
-        start = stop[start]
-    return ids
-
-
-class Words(Memo):
-    """Ids of pre-tokens, as little-endian 32-bit integers.
 
-    The perfect hash answers for whole pre-tokens; the heap asks for the ranks of many
-    short parts, most of which are no tokens, in a plain table."""
-
-    def __init__(self, table: PerfectHash, entries: int | None = None):
-        super().__init__(entries)
-        self.rank, self.ranks = table.rank, dict(zip(table.keys, table.ranks, strict=True))
-        self.packed = {r: r.to_bytes(4, "little") for r in table.ranks}
-
-    def make(self, word: str) -> bytes:
-        piece = word.encode()
-        rank = self.rank(piece)
-        if rank >= 0:
-            return self.packed[rank]
-        return b"".join(map(self.packed.__getitem__, merge(piece, self.ranks)))
+    def __init__(self, ranks: dict[bytes, int], packed: list[bytes]):
+        self.packed = packed
+        self.raised = {token: rank << PLACE_BITS for token, rank in ranks.items()}
+        self.first = {token: key for token, key in self.raised.items() if len(token) == 2}
+        self.single = {token[0]: packed[rank] for token, rank in ranks.items() if len(token) == 1}
+
+    def merge(self, piece: bytes) -> bytes:
+        n, packed, raised = len(piece), self.packed, self.raised.get
+        mask, pop, push, first = (1 << PLACE_BITS) - 1, heapq.heappop, heapq.heappush, self.first.get
+        stop, before = list(range(1, n + 1)), list(range(-1, n))
+        out = list(map(self.single.__getitem__, piece))
+        pair = [first(piece[start : start + 2], -1) | start for start in range(n - 1)]
+        heap = [key for key in pair if key >= 0]
+        heapq.heapify(heap)
+        pair.append(-1)
+        while heap:
+            key = pop(heap)
+            start = key & mask
+            if pair[start] != key:
+                continue
+            right = stop[start]
+            stop[start] = end = stop[right]
+            out[start], out[right] = packed[key >> PLACE_BITS], b""
+            pair[start] = pair[right] = -1
+            if end < n:
+                before[end] = start
+                key = raised(piece[start : stop[end]])
+                if key is not None:
+                    pair[start] = key = key | start
+                    push(heap, key)
+            if start:
+                left = before[start]
+                key = raised(piece[left:end])
+                if key is None:
+                    pair[left] = -1
+                else:
+                    pair[left] = key = key | left
+                    push(heap, key)
+        return b"".join(out)
 
 
 class Encoder(Memo):
-    """Ids of what stands between two spaces, the first of them included.
+    """Ids of pre-tokens, as little-endian 32-bit integers.
 
-    A pre-token holds a space only as its first character or among other white
-    space. So a text without white space after a space may be cut before each
-    space, and the parts, most of which recur, are split and encoded alone.
+    The perfect hash answers for whole pre-tokens, the heap for the others. A text is
+    split as a whole, so one memory, of pre-tokens, is all that a task keeps.
     """
 
     def __init__(self, table: PerfectHash, pattern: str, entries: int | None = None):
         super().__init__(entries)
-        self.words, self.split = Words(table, entries), regex.compile(pattern).findall
-        self.run = regex.compile(r" \s").search
-
-    def make(self, part: str) -> bytes:
-        return self.whole(" " + part)
+        self.rank, self.split = table.rank, regex.compile(pattern).findall
+        self.packed = [b""] * (max(table.ranks, default=-1) + 1)
+        for rank in table.ranks:
+            self.packed[rank] = rank.to_bytes(4, "little")
+        self.merge = Merger(dict(zip(table.keys, table.ranks, strict=True)), self.packed).merge
 
-    def whole(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.split(text)))
+    def make(self, word: str) -> bytes:
+        piece = word.encode()
+        rank = self.rank(piece)
+        return self.packed[rank] if rank >= 0 else self.merge(piece)
 
     def encode(self, text: str) -> bytes:
-        if self.run(text):
-            return self.whole(text)
-        first, *parts = text.split(" ")
-        return self.whole(first) + b"".join(map(self.__getitem__, parts))
+        return b"".join(map(self.__getitem__, self.split(text)))
 
 
 def tokenize(
@@ -224,8 +213,7 @@ def tokenize(
     unsigned 32-bit integers, and the bytes that they decode to.
 
     Null counts as an empty text, which has no tokens. Each match of ``pattern``
-    is encoded separately; there are no special tokens. ``pattern`` must hold a
-    space only as the first character of a match or among other white space. The tables that go to the
+    is encoded separately; there are no special tokens. The tables that go to the
     executors are as large as the vocabulary. ``ids`` and ``decoded`` replace
     columns of that name, in any case. Rows are independent of one another. ``memo``,
     else ``MEMO_ENTRIES``, bounds what a task remembers and changes no result.

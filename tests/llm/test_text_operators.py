@@ -343,6 +343,28 @@ def test_encoding_equals_the_library(ranks, official):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == official.encode_ordinary(text)
 
 
+def test_a_text_is_split_once_and_a_pretoken_encoded_once(ranks, official):
+    encoder = byte_bpe.Encoder(byte_bpe.perfect_hash(ranks), public_tokenizers.PATTERN)
+    text = " ".join(f"{word}{end}" for word in ("zqxj", "the", "athawh", "oftionnten") for end in ("", ",", ".", "?!", "'s"))
+    split, rank, calls = encoder.split, encoder.rank, Counter()
+
+    def counted(name, call):
+        return lambda value: calls.update([name]) or call(value)
+
+    encoder.split, encoder.rank = counted("split", split), counted("rank", rank)
+    for _ in range(3):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == official.encode_ordinary(text)
+    assert calls == {"split": 3, "rank": len(set(split(text)))}
+
+
+def test_pretokens_may_hold_single_spaces(ranks):
+    pattern = r"\p{L}+ \p{L}+|\s|[^\s]"
+    library = tiktoken.Encoding("pairs", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoder = byte_bpe.Encoder(byte_bpe.perfect_hash(ranks), pattern)
+    for text in ("of the zqxj athawh end", "one two, three four\nfive six", "a b"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+
+
 def test_bpe_edges(make, ranks, official):
     got = byte_bpe.token_digests(make(EDGE), ranks, public_tokenizers.PATTERN).collect()
     expected = []
