@@ -8,11 +8,13 @@ column, and a subset of features is a slice of that vector.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -65,6 +67,13 @@ def _fit_score(make: MakeEstimator, train: DataFrame, test: DataFrame, indices:
     return model, evaluator(metric).evaluate(model.transform(sliced(test, indices)))
 
 
+def _side_by_side(spark: SparkSession, task: Callable, items: Sequence, parallelism: int) -> list:
+    """Results of ``task`` in the order of ``items``. A fit is a chain of short jobs that
+    leave cores idle, so several run at once; none depends on another."""
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(task), items, chunksize=1)
+
+
 def _eliminate(make: MakeEstimator, train: DataFrame, test: DataFrame | None, p: int, until: int, metric: str):
     """Drop the weakest feature one at a time; yields (indices, score)."""
     left = list(range(p))
@@ -105,11 +114,19 @@ def rfe_cv(
 
 
 def best_subset(
-    df: DataFrame, names: Sequence[str], keys: Sequence[str], make: MakeEstimator, k: int, test_share: float = 0.25, seed: int = 1
+    df: DataFrame,
+    names: Sequence[str],
+    keys: Sequence[str],
+    make: MakeEstimator,
+    k: int,
+    test_share: float = 0.25,
+    seed: int = 1,
+    parallelism: int = 3,
 ) -> DataFrame:
     """Backward search: from all features, drop the one without which the
     hold-out AUC is best, down to k features. One row per step; ``is_best`` marks
-    the best-scoring subset, the larger one on a tie."""
+    the best-scoring subset, the larger one on a tie. The subsets of a step are fitted
+    side by side."""
     train, test = row_split(df, list(keys), test_share, seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
@@ -121,7 +138,7 @@ def best_subset(
     steps = [(subset, auc(subset))]
     while len(subset) > k:
         smaller = [subset[:i] + subset[i + 1 :] for i in range(len(subset))]
-        scores = [auc(s) for s in smaller]
+        scores = _side_by_side(df.sparkSession, auc, smaller, parallelism)
         place = int(np.argmax(scores))
         subset = smaller[place]
         steps.append((subset, scores[place]))
