@@ -91,17 +91,30 @@ def _eliminate(make: MakeEstimator, train: DataFrame, test: DataFrame | None, p:
 
 
 def rfe_cv(
-    df: DataFrame, names: Sequence[str], keys: Sequence[str], make: MakeEstimator, folds: int = 3, metric: str = "auc", seed: int = 0
+    df: DataFrame,
+    names: Sequence[str],
+    keys: Sequence[str],
+    make: MakeEstimator,
+    folds: int = 3,
+    metric: str = "auc",
+    seed: int = 0,
+    parallelism: int = 3,
 ) -> DataFrame:
     """Recursive elimination: the number of features with the best mean fold
-    score, and the features that stay at that number. One row per feature."""
+    score, and the features that stay at that number. One row per feature. The folds are
+    worked through side by side."""
     p = len(names)
     dealt = dealt_by_rows(stratified_folds(df, list(keys), TARGET, folds, seed), keys).persist(StorageLevel.MEMORY_AND_DISK)
-    scores = np.zeros(p + 1)
-    for fold in range(folds):
+    dealt.count()  # fills the rows once, before the folds start together
+
+    def fold_scores(fold: int) -> dict[int, float]:
         train, test = dealt.where(F.col("fold") != fold), dealt.where(F.col("fold") == fold)
-        for indices, value in _eliminate(make, train, test, p, 1, metric):
-            scores[len(indices)] += value / folds
+        return {len(indices): value for indices, value in _eliminate(make, train, test, p, 1, metric)}
+
+    scores = np.zeros(p + 1)
+    for found in _side_by_side(df.sparkSession, fold_scores, range(folds), parallelism):
+        for size, value in found.items():
+            scores[size] += value / folds
     best = 1 + int(np.argmax(scores[1:]))
     steps = list(_eliminate(make, dealt, None, p, best, metric))
     dealt.unpersist()

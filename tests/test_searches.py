@@ -60,3 +60,23 @@ def test_candidates_of_a_step_are_fitted_side_by_side(monkeypatch, labelled):
     monkeypatch.setattr(selection, "_fit_score", fit)
     steps = selection.best_subset(df, names, ["id"], classify.logistic, 2).collect()
     assert [sorted(r.features) for r in steps] == [["a", "b", "c"], ["a", "b"]]
+
+
+def test_elimination_runs_three_folds_and_fits_to_the_end(monkeypatch, lines, labelled):
+    found = settings(monkeypatch, selection, "rfe_cv", catalog.rfe_cv)
+    assert found["make"](labelled[0]).getMaxIter() == 100
+    assert found["folds"] == 3
+
+
+def test_folds_are_worked_through_side_by_side(monkeypatch, labelled):
+    df, names = labelled
+    barrier, eliminate = threading.Barrier(3), selection._eliminate
+
+    def steps(make, train, test, *rest):
+        if test is not None:
+            barrier.wait(timeout=60)
+        return eliminate(make, train, test, *rest)
+
+    monkeypatch.setattr(selection, "_eliminate", steps)
+    rows = {r.features: r for r in selection.rfe_cv(df, names, ["id"], classify.logistic).collect()}
+    assert rows["a"].selected and rows["b"].selected
