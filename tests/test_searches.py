@@ -80,3 +80,9 @@ def test_folds_are_worked_through_side_by_side(monkeypatch, labelled):
     monkeypatch.setattr(selection, "_eliminate", steps)
     rows = {r.features: r for r in selection.rfe_cv(df, names, ["id"], classify.logistic).collect()}
     assert rows["a"].selected and rows["b"].selected
+
+
+def test_classifier_search_runs_twenty_trials(monkeypatch):
+    monkeypatch.setattr(catalog, "line_splits", lambda *_: classify.Splits(None, None, None, None))
+    found = settings(monkeypatch, classify, "tune_classifier", catalog.tune_classifier)
+    assert found["trials"] == 20 and found["space"] is None
