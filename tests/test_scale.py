@@ -171,3 +171,22 @@ def test_chains_read_staged_baskets(spark, monkeypatch):
     monkeypatch.setattr(catalog.weekly, "purchase_probability", chain)
     catalog.purchase_probability(spark, "/root/testdata/sf0.001")
     assert "Join" not in plan(seen[0]) and seen[0].count() == 6000
+
+
+def test_summary_is_looked_up_without_an_exchange_of_sums(make_lines, random_lines, monkeypatch):
+    # Moved products, null baskets, codes and spends: as by the join of sums and pairs.
+    rows = random_lines(400, 3)
+    rows += [{"CUST_CODE": "U1", "PROD_CODE_20": None, "BASKET_ID": None}, {"CUST_CODE": "U2", "PROD_CODE": None}]
+    rows = staging.stage(make_lines(rows), "rows")
+    products = labels.hierarchy_map(rows, levels := ["PROD_CODE", "PROD_CODE_10", "PROD_CODE_20"])
+    args = (rows, products, [200801, 200805], ["l", "s"], levels)
+    found = hierarchy.sp_vi_qu(*args)
+    assert plan(found).count("hashpartitioning") == 2  # the lines and the narrow pairs, by customer
+    assert "hashpartitioning(CUST_CODE#" in plan(found)
+    by_pair = hierarchy.sp_vi_qu(*args, by_pair=True)
+    assert plan(by_pair).count("hashpartitioning") == 3 and "hashpartitioning(CUST_CODE#" in plan(by_pair)
+    monkeypatch.setattr(hierarchy, "MAP_LINES", 1)
+    joined = hierarchy.sp_vi_qu(*args)
+    assert "pivot" in plan(joined) and "pivot" not in plan(found)
+    want = sorted(map(repr, joined.collect()))
+    assert sorted(map(repr, found.collect())) == want == sorted(map(repr, by_pair.collect()))
