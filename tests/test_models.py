@@ -365,3 +365,27 @@ def test_paths_are_explained_by_pattern_and_values_no_bound_compares_with_go_rig
             sets = [(set(), 2), ({others[0]}, 1), ({others[1]}, 1), ({*others}, 2)]
             phi = sum(w * (expected(x[i], {*known, f}) - expected(x[i], known)) for known, w in sets) / 6
             assert found[i, f] == pytest.approx(phi)
+
+
+def test_paths_that_share_tests_share_a_table(monkeypatch):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(4000, 4))
+    x[3, 2], x[4, 2] = np.nan, np.inf
+    inf = np.inf
+    # Two leaves of one node, one that tests a feature twice, and an unrelated path.
+    paths = [
+        (0.3, [(0, 0.4, -inf, 0.2), (1, 0.5, -inf, 0.1), (2, 0.7, -inf, 0.5)]),
+        (0.1, [(0, 0.4, -inf, 0.2), (1, 0.5, -inf, 0.1), (2, 0.3, 0.5, inf)]),
+        (0.2, [(0, 0.4, -inf, 0.2), (1, 0.2, 0.1, 0.9), (2, 0.6, -inf, 0.5)]),
+        (0.7, [(1, 0.1, 1.1, inf), (2, 0.9, -1.0, inf), (3, 0.5, 0.0, inf)]),
+    ]
+    def stacked(paths):
+        columns = zip(*[t for _, tests in paths for t in tests], strict=True)
+        return (3, [v for v, _ in paths], *map(list, columns))
+
+    alone = sum(explain.attribute(x, [stacked([p])]) for p in paths)
+    taken, take = [], np.take
+    monkeypatch.setattr(explain.np, "take", lambda *a, **k: taken.append(1) or take(*a, **k))
+    together = explain.attribute(x, [stacked(paths)])
+    assert together == pytest.approx(alone)
+    assert len(taken) < 12  # a look-up per feature and group, not per feature and path
