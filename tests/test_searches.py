@@ -6,7 +6,7 @@ import threading
 import pytest
 
 import catalog
-from shelfwise.operators import classify, selection
+from shelfwise.operators import classify, recommend, selection
 
 
 class Called(Exception):
@@ -86,3 +86,10 @@ def test_classifier_search_runs_twenty_trials(monkeypatch):
     monkeypatch.setattr(catalog, "line_splits", lambda *_: classify.Splits(None, None, None, None))
     found = settings(monkeypatch, classify, "tune_classifier", catalog.tune_classifier)
     assert found["trials"] == 20 and found["space"] is None
+
+
+def test_als_search_runs_25_trials_over_the_whole_space(monkeypatch):
+    monkeypatch.setattr(catalog, "basket_view", lambda *_: None)
+    monkeypatch.setattr(recommend, "als_input", lambda *_: recommend.AlsInput(None, None, None, None))
+    found = settings(monkeypatch, recommend, "tune_als", catalog.als_tune)
+    assert found["trials"] == 25 and found["space"] == recommend.ALS_SPACE
