@@ -190,3 +190,10 @@ def test_summary_is_looked_up_without_an_exchange_of_sums(make_lines, random_lin
     assert "pivot" in plan(joined) and "pivot" not in plan(found)
     want = sorted(map(repr, joined.collect()))
     assert sorted(map(repr, found.collect())) == want == sorted(map(repr, by_pair.collect()))
+
+
+def test_changes_exchange_only_lines_and_narrow_pairs(spark):
+    import catalog
+
+    changes = catalog.queries()["chng_features"](spark, "/root/testdata/sf0.001")
+    assert plan(changes).count("hashpartitioning") == 2 and "pivot" not in plan(changes)
