@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 
 from shelfwise.operators import few_items, recommend
+from shelfwise.plans import weekly
+from shelfwise.schema import Windows
 
 NAMES = "index_CUST_CODE long, index_PROD_CODE long, QUANTITY double"
 
@@ -76,3 +78,11 @@ def test_start_goes_by_id_and_seed():
     assert np.allclose(np.linalg.norm(drawn, axis=1), 1) and np.abs(drawn.mean(axis=0)).max() < 0.05
     assert (few_items.start(ids[7:9], 4, 0) == drawn[7:9]).all()
     assert not np.allclose(few_items.start(ids, 4, 1), drawn)
+
+
+def test_the_chain_of_features_fits_without_sparks_als(make_lines, random_lines, monkeypatch):
+    monkeypatch.setattr(recommend, "ALS", None)
+    rows = make_lines(random_lines(300, 2))
+    found = weekly.recommend_products(rows, Windows(), top_x=2, rank=2, iterations=2)
+    assert found.user_factors.columns == ["CUST_CODE", "factor_0", "factor_1"]
+    assert found.item_factors.count() == 12 and {r.split for r in found.errors.collect()} == {"train", "test"}
